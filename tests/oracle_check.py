@@ -62,6 +62,7 @@ def main() -> int:
         **{
             "spark.master": "local[8]",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
             "spark.sql.shuffle.partitions": "8",
         }

@@ -55,6 +55,10 @@ def artifact(spark: SparkSession, folder: str, name: str, build):
     return _ARTIFACTS[key]
 
 
+def forget_artifacts() -> None:
+    _ARTIFACTS.clear()
+
+
 # --- sources and sinks -------------------------------------------------------
 
 
