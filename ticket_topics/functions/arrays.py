@@ -36,7 +36,7 @@ def term_frequencies(tokens: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(tokens) > 0, bind(F.array_sort(tokens), runs))
+    return bind(F.sort_array(tokens), lambda s: F.when(F.size(s) > 0, runs(s)))
 
 
 def argmax(values: Column) -> Column:

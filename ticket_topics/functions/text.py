@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import bind
+
 WORD_CHARS = r"\p{L}\p{N}_"
 SPACE_CHARS = r"\s\x1c-\x1f\x85\p{Z}"
 
@@ -18,6 +20,7 @@ PUNCTUATION = rf"[^{WORD_CHARS}{SPACE_CHARS}]"
 NUMERIC_WORD = (
     rf"(?<![{WORD_CHARS}])[\p{{L}}\p{{Nl}}\p{{No}}_]*+\p{{Nd}}[{WORD_CHARS}]*+"
 )
+DIGIT = r"\p{Nd}"
 WORD_TOKEN = rf"([{WORD_CHARS}]{{2,}})"
 SPACE_RUN = rf"[{SPACE_CHARS}]+"
 
@@ -32,7 +35,13 @@ def strip_punct(c: Column) -> Column:
 
 
 def strip_numeric_words(c: Column) -> Column:
-    return F.regexp_replace(c, NUMERIC_WORD, "")
+    """Drop words with a digit; a text without digits is left after one search."""
+    return bind(
+        c,
+        lambda t: F.when(
+            F.regexp_like(t, F.lit(DIGIT)), F.regexp_replace(t, NUMERIC_WORD, "")
+        ).otherwise(t),
+    )
 
 
 def clean_text(c: Column) -> Column:
@@ -66,14 +75,14 @@ def tokenize_ws(c: Column, drop_empty: bool = False) -> Column:
     Same result as the ML ``Tokenizer``: empty tokens inside the text stay,
     those at its end go. ``drop_empty`` removes all of them.
     """
-    low = F.lower(c)
-    body = F.rtrim(low, F.lit(ASCII_SPACES))
     none = F.array().cast("array<string>")
-    tokens = (
-        F.when(low == "", F.array(F.lit("")))
-        .when(body == "", none)
-        .otherwise(F.split(body, r"\s"))
-    )
+    blank = F.array(F.lit(""))
+
+    def split(low: Column) -> Column:
+        parts = F.split(F.rtrim(low, F.lit(ASCII_SPACES)), r"\s")
+        return bind(parts, lambda p: F.when((p == blank) & (low != ""), none).otherwise(p))
+
+    tokens = bind(F.lower(c), split)
     return F.filter(tokens, lambda w: w != "") if drop_empty else tokens
 
 

@@ -7,9 +7,8 @@ as vectors for the estimators.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
-    IDF,
     CountVectorizerModel,
     ElementwiseProduct,
     Normalizer,
@@ -18,13 +17,13 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_ROWS, VOCAB_SIZE
 from ..functions import text as X
 from ..functions.arrays import term_frequencies
-from ..session import staged
+from ..session import scratch_path, staged
 from .joins import lookup_join
 from .ranking import number_table
 
@@ -177,15 +176,35 @@ def tfidf_l2_all(df: DataFrame, text: str, key: str = "id", **kwargs) -> DataFra
     )
 
 
-def vocabulary_list(vocabulary: DataFrame, limit: int = BROADCAST_ROWS) -> list[str]:
-    """Terms by id, for a vector model; refuses a vocabulary above ``limit``."""
-    rows = vocabulary.orderBy("term_id").limit(limit + 1).select("term").toArrow()
-    if rows.num_rows > limit:
+def counter_model(
+    vocabulary: DataFrame, tokens: str, output: str, limit: int = BROADCAST_ROWS
+) -> CountVectorizerModel:
+    """Count vectoriser over a stored vocabulary, index = ``term_id``.
+
+    The terms are written into a saved model as data, so they do not pass
+    through Python one by one. Refuses more than ``limit`` terms, which would
+    not fit a vector model.
+    """
+    if vocabulary.count() > limit:
         raise ValueError(
             f"more than {limit} terms do not fit a vector model; "
             "set vocab_size or use the long form"
         )
-    return rows.column("term").to_pylist()
+    path = scratch_path(vocabulary.sparkSession, "counter-model")
+    CountVectorizerModel.from_vocabulary(
+        ["-"], inputCol=tokens, outputCol=output
+    ).write().save(path)
+    ordered = F.sort_array(F.collect_list(F.struct("term_id", "term")))
+    vocabulary.agg(ordered["term"].alias("vocabulary")).write.mode("overwrite").parquet(
+        f"{path}/data"
+    )
+    return CountVectorizerModel.load(path)
+
+
+def weight_vector(vocabulary: DataFrame, weight: Column) -> DenseVector:
+    """One weight per term, by ``term_id``; for a vocabulary that fits a model."""
+    rows = vocabulary.orderBy("term_id").select(weight.alias("w")).toArrow()
+    return DenseVector(rows.column("w").to_numpy())
 
 
 def fit_vectorizer(
@@ -195,20 +214,28 @@ def fit_vectorizer(
     stop_words=ENGLISH_STOP_WORDS,
     output: str = "features",
 ) -> PipelineModel:
-    """Tokenizer, stop words, counts over the ordered vocabulary, IDF."""
-    vocab = build_vocabulary(df, ticket_tokens(F.col(text), stop_words), vocab_size)
-    counter = CountVectorizerModel.from_vocabulary(
-        vocabulary_list(vocab), inputCol="filtered_words", outputCol="raw_features"
+    """Tokenizer, stop words, counts over the ordered vocabulary, IDF weights.
+
+    The vocabulary pass also counts the documents of each term, so the IDF needs
+    no second pass over the texts.
+    """
+    n = df.count()
+    tokens = ticket_tokens(F.col(text), stop_words)
+    vocab = staged(build_vocabulary(df, tokens, vocab_size), "vocabulary")
+    return PipelineModel(
+        stages=[
+            Tokenizer(inputCol=text, outputCol="words"),
+            StopWordsRemover(
+                inputCol="words", outputCol="filtered_words", stopWords=list(stop_words)
+            ),
+            counter_model(vocab, "filtered_words", "raw_features"),
+            ElementwiseProduct(
+                inputCol="raw_features",
+                outputCol=output,
+                scalingVec=weight_vector(vocab, idf(F.col("df"), n)),
+            ),
+        ]
     )
-    stages = [
-        Tokenizer(inputCol=text, outputCol="words"),
-        StopWordsRemover(
-            inputCol="words", outputCol="filtered_words", stopWords=list(stop_words)
-        ),
-        counter,
-        IDF(inputCol="raw_features", outputCol=output),
-    ]
-    return Pipeline(stages=stages).fit(df)
 
 
 def fit_unit_vectorizer(
@@ -219,32 +246,26 @@ def fit_unit_vectorizer(
 ) -> PipelineModel:
     """Word tokens, counts, smoothed IDF and unit length as one pipeline."""
     n = df.count()
-    vocab = staged(
-        build_vocabulary(df, dictionary_tokens(F.col(text), ()), vocab_size), "vocabulary"
+    tokens = dictionary_tokens(F.col(text), ())
+    vocab = staged(build_vocabulary(df, tokens, vocab_size), "vocabulary")
+    return PipelineModel(
+        stages=[
+            RegexTokenizer(
+                inputCol=text,
+                outputCol="words",
+                pattern=X.WORD_TOKEN,
+                gaps=False,
+                toLowercase=True,
+            ),
+            counter_model(vocab, "words", "raw_features"),
+            ElementwiseProduct(
+                inputCol="raw_features",
+                outputCol="weighted",
+                scalingVec=weight_vector(vocab, smooth_idf(F.col("df"), n)),
+            ),
+            Normalizer(p=2.0, inputCol="weighted", outputCol=output),
+        ]
     )
-    terms = vocabulary_list(vocab)
-    weights = (
-        vocab.orderBy("term_id").select(smooth_idf(F.col("df"), n).alias("w")).toArrow()
-    )
-    stages = [
-        RegexTokenizer(
-            inputCol=text,
-            outputCol="words",
-            pattern=X.WORD_TOKEN,
-            gaps=False,
-            toLowercase=True,
-        ),
-        CountVectorizerModel.from_vocabulary(
-            terms, inputCol="words", outputCol="raw_features"
-        ),
-        ElementwiseProduct(
-            inputCol="raw_features",
-            outputCol="weighted",
-            scalingVec=DenseVector(weights.column("w").to_numpy()),
-        ),
-        Normalizer(p=2.0, inputCol="weighted", outputCol=output),
-    ]
-    return PipelineModel(stages=stages)
 
 
 def vector_entries(vector: Column) -> Column:
@@ -257,9 +278,7 @@ def vector_entries(vector: Column) -> Column:
     )
 
 
-def vocabulary_terms(vocabulary: list[str], df: DataFrame) -> DataFrame:
-    """Vocabulary of a fitted model as a table."""
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        list(enumerate(vocabulary)), "term_id bigint, term string"
-    )
+def vocabulary_terms(spark: SparkSession, path: str) -> DataFrame:
+    """``term_id, term`` of a saved count vectoriser."""
+    saved = spark.read.parquet(f"{path}/data")
+    return saved.select(F.posexplode("vocabulary").alias("term_id", "term"))

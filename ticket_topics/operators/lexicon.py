@@ -6,12 +6,16 @@ with their most frequent tag and lemma.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import BROADCAST_BYTES, BROADCAST_ROWS
 from ..functions import text as X
 from ..session import staged
-from .joins import lookup_join
+from .joins import is_small, lookup_join
 from .records import TEXT, with_text
 
 NOUN = "NN"
@@ -48,17 +52,65 @@ def lemmatize_and_tag(
     lemmas: str = "complaint_lemmatized",
     nouns: str = "complaint_pos_filtered",
     unknown_tag: str | None = None,
-    **bounds,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add the lemma text and the noun-only text of ``column``.
 
-    One explode and one regroup serve both. The short rows are put in place by
-    key before they are exploded, so that the regroup needs no second shuffle
-    when the lexicon is small; the other columns travel with the first token.
     Unknown forms stay as they are and get ``unknown_tag``; a text without nouns
-    gives ``''``. ``key`` must be unique.
+    gives ``''``. A lexicon measured to be small is broadcast and looked up where
+    the rows lie; a larger one is joined (``key`` must be unique then).
     """
     compiled = staged(compile_lexicon(lexicon), "lexicon")
+    if is_small(compiled, max_rows, max_bytes):
+        return _by_broadcast(df, compiled, column, lemmas, nouns, unknown_tag)
+    return _by_join(
+        df, compiled, key, column, lemmas, nouns, unknown_tag, max_rows, max_bytes
+    )
+
+
+def _by_broadcast(df, compiled, column, lemmas, nouns, unknown_tag):
+    table = compiled.select(
+        "form", "lemma", (F.coalesce("lemma_tag", F.lit("")) == NOUN).alias("noun")
+    ).toArrow()
+    shared = df.sparkSession.sparkContext.broadcast(table.combine_chunks())
+    unknown_is_noun = unknown_tag == NOUN
+
+    @F.arrow_udf("struct<lemmas: string, nouns: string>")
+    def look_up(tokens: pa.Array) -> pa.Array:
+        known = shared.value
+        forms = tokens.flatten()
+        at = pc.index_in(forms, value_set=known.column("form"))
+        lemma = pc.coalesce(pc.take(known.column("lemma"), at), forms)
+        noun = pc.fill_null(pc.take(known.column("noun"), at), unknown_is_noun)
+        lemma, noun = _flat(lemma), _flat(noun)
+        cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy())])
+        before = np.concatenate([[0], np.cumsum(noun.to_numpy(zero_copy_only=False))])
+        texts = [
+            pc.binary_join(pa.ListArray.from_arrays(pa.array(c, pa.int32()), v), " ")
+            for c, v in ((cuts, lemma), (before[cuts], lemma.filter(noun)))
+        ]
+        return pa.StructArray.from_arrays(texts, names=["lemmas", "nouns"])
+
+    tokens = X.words(F.coalesce(F.col(column), F.lit("")))
+    return (
+        df.withColumn("_found", look_up(tokens))
+        .withColumn(lemmas, F.col("_found.lemmas"))
+        .withColumn(nouns, F.col("_found.nouns"))
+        .drop("_found")
+    )
+
+
+def _flat(values) -> pa.Array:
+    return values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+
+
+def _by_join(
+    df, compiled, key, column, lemmas, nouns, unknown_tag, max_rows, max_bytes
+) -> DataFrame:
+    """One explode and one regroup serve both texts. The short rows are put in
+    place by key before they are exploded; the other columns travel with the
+    first token."""
     rest = [c for c in df.columns if c != key]
     tokens = (
         df.repartition(key)
@@ -76,7 +128,12 @@ def lemmatize_and_tag(
         )
     )
     joined = lookup_join(
-        tokens, compiled, "form", F.struct(F.col(key), F.col("_pos")), **bounds
+        tokens,
+        compiled,
+        "form",
+        F.struct(F.col(key), F.col("_pos")),
+        max_rows=max_rows,
+        max_bytes=max_bytes,
     )
     known = F.col("lemma").isNotNull()
     tag = F.when(known, F.col("lemma_tag")).otherwise(F.lit(unknown_tag))

@@ -11,6 +11,7 @@ from ..config import (
     BOOTSTRAP_SEED,
     SPLIT_SEED,
 )
+from ..functions.arrays import bind
 from ..functions.hashing import md5_bucket, md5_draw, poisson_weight
 
 
@@ -42,13 +43,14 @@ def bootstrap_weights(
     """Add ``rep, weight``: how often a row is drawn, with replacement, into each
     replicate. Rows not drawn are left out, so about ``fraction`` of the rows
     leave the map side per replicate."""
-    reps = F.sequence(F.lit(1), F.lit(replicates))
-    draws = F.transform(
-        reps,
-        lambda r: F.struct(
-            r.alias("rep"),
-            poisson_weight(md5_draw(seed, r, F.col(key)), fraction).alias("weight"),
-        ),
-    )
+    def draw(rep):
+        return bind(
+            md5_draw(seed, rep, F.col(key)),
+            lambda d: F.struct(
+                rep.alias("rep"), poisson_weight(d, fraction).alias("weight")
+            ),
+        )
+
+    draws = F.transform(F.sequence(F.lit(1), F.lit(replicates)), draw)
     drawn = F.filter(draws, lambda d: d["weight"] > 0)
     return df.select("*", F.inline(drawn))

@@ -451,9 +451,9 @@ def lda_mixture(spark, folder):
 
 @query
 def topic_terms(spark, folder):
-    words = features.vocabulary_terms(
-        _vectorizer(spark, folder).stages[2].vocabulary, _cleaned(spark, folder)
-    )
+    path = scratch_path(spark, "counter")
+    models.save_model(_vectorizer(spark, folder).stages[2], path)
+    words = features.vocabulary_terms(spark, path)
     rows = topics.lda_topic_terms(_lda(spark, folder), words)
     return rows.withColumn("weight", r6("weight"))
 
