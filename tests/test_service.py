@@ -1,0 +1,198 @@
+import json
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from ticket_topics.operators import classify, monitor, quality
+from ticket_topics.operators.records import TEXT
+from ticket_topics.plans import jobs
+from ticket_topics.operators.lexicon import induce_lexicon
+from ticket_topics.schema import RAW_COMPLAINT, SERVICE_RECORD
+from ticket_topics.sources import models, runs, stages
+from ticket_topics.streaming import ingest, monitor as stream_monitor, scoring
+
+GOOD = {
+    "complaint_id": "3211475",
+    "issue": "Debt",
+    "date_received": "2019-04-13T12:00:00-05:00",
+    "state": "CA",
+    "product": "Debt collection",
+    "company_response": "Closed",
+    "company": "Bank",
+    "submitted_via": "Web",
+    "date_sent_to_company": "2019-04-13T12:00:00-05:00",
+    "timely": "Yes",
+    "complaint_what_happened": None,
+}
+
+
+def record(ident, **source):
+    return {"index": "i", "type": "t", "id": ident, "score": 0.0, "source": {**GOOD, **source}}
+
+
+def test_quarantine(spark):
+    rows = [
+        record("1"),
+        record("2", state="CAL"),
+        record("3", timely="Maybe"),
+        record("4", date_received="13/04/2019"),
+        record("abc"),
+        record("6", company=None),
+        record("7", state="CAL", timely=None, date_sent_to_company="x"),
+    ]
+    flat = quality.flatten_records(spark.createDataFrame(rows, SERVICE_RECORD))
+    valid, bad = quality.route(quality.validate(flat))
+    assert [(r.id, r.date_received.isoformat()) for r in valid.collect()] == [
+        (1, datetime.fromisoformat(GOOD["date_received"]).astimezone().replace(tzinfo=None).isoformat())
+    ]
+    assert {r.id: r.errors for r in bad.collect()} == {
+        "2": ["state_too_long"],
+        "3": ["timely_invalid"],
+        "4": ["date_received_invalid"],
+        "abc": ["id_not_numeric"],
+        "6": ["company_missing"],
+        "7": ["timely_missing", "state_too_long", "date_sent_to_company_invalid"],
+    }
+
+
+def event_rows(n=400, seed=2):
+    rng = random.Random(seed)
+    t0 = datetime(2024, 1, 1)
+    stamps = sorted(t0 + timedelta(seconds=rng.random() * 7200) for _ in range(n))
+    return [(t, rng.choice([0, 0, 0, 1, 4])) for t in stamps]
+
+
+def brute_rates(rows, window=300, slide=60):
+    out = Counter()
+    for t, topic in rows:
+        s = int((t - datetime(2024, 1, 1)).total_seconds()) // slide * slide
+        for k in range(window // slide):
+            out[(s - k * slide, topic)] += 1
+    return out
+
+
+def epochs(frame):
+    base = int((datetime(2024, 1, 1) - datetime(1970, 1, 1)).total_seconds())
+    rows = frame.select(F.unix_seconds("window_start").alias("s"), "topic", "n", "rate").collect()
+    return {(r.s - base, r.topic): (r.n, r.rate) for r in rows}
+
+
+def test_rates_and_alerts(spark):
+    rows = event_rows()
+    df = spark.createDataFrame(rows, "ts timestamp, topic int")
+    want = brute_rates(rows)
+    got = epochs(monitor.topic_rates(df))
+    assert got == {k: (n, n / 300.0) for k, n in want.items()}
+    alerts = epochs(monitor.rate_alerts(monitor.topic_rates(df), 0.05))
+    assert alerts == {k: v for k, v in got.items() if v[1] > 0.05}
+    with pytest.raises(ValueError):
+        monitor.topic_rates(df, window_seconds=100, slide_seconds=60)
+
+
+def test_counters_show_unseen_topics(spark):
+    df = spark.createDataFrame(event_rows(), "ts timestamp, topic int")
+    got = {r.topic: (r.metric_name, r.n) for r in monitor.topic_counters(df).collect()}
+    assert got[1][0] == "credit_card_prepaid_card" and got[3] == ("theft_dispute_reporting", 0)
+    assert sum(n for _, n in got.values()) == 400
+
+
+def test_stream_equals_closed_batch_windows(spark, tmp_path):
+    rows = event_rows(600)
+    schema = "ts timestamp, topic int"
+    for i in range(5):
+        part = spark.createDataFrame(rows[i * 120 : (i + 1) * 120], schema).coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+    batch = spark.read.parquet(str(tmp_path / "in"))
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), batch.schema, "parquet", max_files=1)
+    rates = stream_monitor.stream_rates(stream)
+    ingest.run_available(rates, str(tmp_path / "out"), str(tmp_path / "cp"))
+    last = batch.agg(F.max("ts").alias("last_ts"))
+    want = epochs(stream_monitor.closed_windows(monitor.topic_rates(batch), last))
+    assert epochs(spark.read.schema(rates.schema).parquet(str(tmp_path / "out"))) == want
+    assert want
+    counters = stream_monitor.stream_counters(stream, str(tmp_path / "cp2"))
+    assert sorted(counters.collect()) == sorted(monitor.topic_counters(batch).collect())
+
+
+def test_ingest_takes_only_new_files(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    take = lambda df: df.select("id")
+    schema = spark.range(1).schema
+    spark.range(0, 5).coalesce(1).write.mode("append").parquet(src)
+    first = ingest.ingest(ingest.file_stream(spark, src, schema, "parquet"), take, out, cp)
+    assert first.count() == 5
+    spark.range(5, 9).coalesce(1).write.mode("append").parquet(src)
+    both = ingest.ingest(ingest.file_stream(spark, src, schema, "parquet"), take, out, cp)
+    assert sorted(r.id for r in both.collect()) == list(range(9))
+
+
+THEMES = ["card credit limit visa", "loan house mortgage rate", "theft fraud police stolen"]
+
+
+def training(spark, n=120):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(THEMES[i % 3].split(), k=8)), i % 3) for i in range(n)]
+    return spark.createDataFrame(rows, f"id int, {TEXT} string, topic int").repartition(3)
+
+
+def test_classifiers_learn_and_reload(spark, tmp_path):
+    rows = training(spark)
+    for fit in (classify.train_classifier, classify.train_one_vs_rest):
+        trained = fit(rows)
+        scores = {r.split: r.accuracy for r in trained.scores().collect()}
+        assert min(scores.values()) == 1.0
+    assert {r.split for r in classify.train_classifier(rows, fit_on="train").scores().collect()} == {"train", "test"}
+    models.save_model(trained.model, str(tmp_path / "m"))
+    texts = spark.createDataFrame([(1, "fraud police"), (2, None), (3, "visa limit card")], f"id int, {TEXT} string")
+    once = classify.score_texts(trained.model, texts, "id").orderBy("id").collect()
+    again = classify.score_texts(models.load_pipeline(str(tmp_path / "m")), texts, "id").orderBy("id").collect()
+    assert once == again and (once[0].prediction, once[2].prediction) == (2.0, 0.0)
+    assert once[1][TEXT] == ""
+    nulls = texts.where("id = 2")
+    assert classify.score_texts(trained.model, nulls, "id").count() == 1
+
+
+def test_stream_scores_equal_batch(spark, tmp_path):
+    rows = training(spark)
+    model = classify.train_classifier(rows).model
+    rows.select("id", TEXT).write.parquet(str(tmp_path / "in"))
+    batch = spark.read.parquet(str(tmp_path / "in"))
+    stream = ingest.file_stream(spark, str(tmp_path / "in"), batch.schema, "parquet", max_files=1)
+    got = scoring.score_stream(model, stream, str(tmp_path / "out"), str(tmp_path / "cp"), "id")
+    assert sorted(got.collect()) == sorted(classify.score_texts(model, batch, "id").collect())
+
+
+def test_chain_runs_twice_and_compares(spark, tmp_path):
+    rng = random.Random(9)
+    source = tmp_path / "complaints-2021.json"
+    rows = [
+        {"_index": "i", "_type": "t", "_id": str(i), "_score": 0.0,
+         "_source": {"complaint_what_happened": " ".join(rng.choices(THEMES[i % 3].split(), k=9))}}
+        for i in range(90)
+    ] + [{"_id": "x", "_source": {"complaint_what_happened": ""}}]
+    source.write_text("\n".join(json.dumps(r) for r in rows))
+    words = [(w, "NN", w) for t in THEMES for w in t.split()]
+    lexicon = induce_lexicon(spark.createDataFrame(words, "form string, tag string, lemma string"))
+    catalog = stages.StageCatalog(str(tmp_path / "stages"))
+    args = (spark, str(source), lexicon, catalog, "ab")
+    first = jobs.run_chain(*args, "run-1", datetime(2024, 1, 1), relabel=True).collect()
+    assert len(first) == 4 and {r.verdict for r in first} == {None}
+    labels = spark.read.parquet(catalog.labeled(str(source)))
+    assert labels.count() == 90 and "topic" in labels.columns
+    relabeled = {r.id: r.topic for r in labels.collect()}
+    second = jobs.run_chain(*args, "run-2", datetime(2024, 1, 2)).collect()
+    assert len(second) == 4
+    again = spark.read.parquet(catalog.labeled(str(source)))
+    assert {r.id: r.topic for r in again.collect()} == relabeled
+    jobs.run_chain(*args, "run-2", datetime(2024, 1, 2))
+    history = runs.read_runs(spark, catalog.run_metrics(), "ab")
+    assert history.count() == 8
+    with pytest.raises(ValueError):
+        jobs.label_job(spark, str(source), catalog, mode="other")
+
+
+def test_raw_schema_has_all_fields():
+    assert len(RAW_COMPLAINT["_source"].dataType.fields) == 18

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-SMALL_ROWS = 1 << 18
+SMALL_ROWS = 1 << 20
 
 
 def number_rows(df: DataFrame, *order: Column, name: str = "row_id") -> DataFrame:
