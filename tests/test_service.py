@@ -193,6 +193,33 @@ def test_chain_runs_twice_and_compares(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.label_job(spark, str(source), catalog, mode="other")
 
+    other = stages.StageCatalog(str(tmp_path / "nmf"))
+    args = (spark, str(source), lexicon, other, "nmf")
+    kinds = {"topic_model": "nmf", "classifier": "one_vs_rest"}
+    jobs.run_chain(*args, "run-1", datetime(2024, 1, 1), relabel=True, **kinds)
+    labels = spark.read.parquet(other.labeled(str(source))).select("id", "topic").collect()
+    themes = {}
+    for r in labels:
+        themes.setdefault(int(r.id) % 3, set()).add(r.topic)
+    # five topics for three themes: a theme may be split, but none is shared
+    assert sum(map(len, themes.values())) == len(set().union(*themes.values()))
+    assert len(jobs.run_chain(*args, "run-2", datetime(2024, 1, 2), **kinds).collect()) == 4
+    again = spark.read.parquet(other.labeled(str(source))).select("id", "topic").collect()
+    assert sorted(again) == sorted(labels)
+
+
+def test_predict_job(spark):
+    model = classify.train_classifier(training(spark)).model
+    rows = [
+        record("1", complaint_what_happened="visa limit card"),
+        record("abc", complaint_what_happened="fraud"),
+        record("3"),
+    ]
+    answers, refused = jobs.predict_job(spark.createDataFrame(rows, SERVICE_RECORD), model)
+    got = {r.complaint_id: (r.complaint_text, r.prediction) for r in answers.collect()}
+    assert got[1] == ("visa limit card", 0.0) and got[3][0] == "" and len(got) == 2
+    assert [r.id for r in refused.collect()] == ["abc"]
+
 
 def test_raw_schema_has_all_fields():
     assert len(RAW_COMPLAINT["_source"].dataType.fields) == 18

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LR_MAX_ITER, VOCAB_SIZE
+from ..session import staged
 from .evaluate import accuracy
 from .features import fit_unit_vectorizer, fit_vectorizer
 from .records import TEXT, fill_null_text
@@ -51,19 +51,19 @@ def _fit(df, vectorizer, estimator, key, text, train_percent, fit_on):
     rows = hash_split(df, key, train_percent)
     basis = rows if fit_on == "all" else rows.where(F.col("split") == "train")
     vectors = vectorizer(basis)
-    placed = (
-        vectors.transform(rows)
-        .select(key, F.col("label").cast("double").alias("label"), "split", "features")
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # The texts are cut into words once; fitting and scoring read the vectors.
+    placed = staged(
+        vectors.transform(rows).select(
+            key, F.col("label").cast("double").alias("label"), "split", "features"
+        ),
+        "training-vectors",
     )
-    try:
-        train = placed.where(F.col("split") == "train")
-        model = estimator(train).fit(train)
-    finally:
-        placed.unpersist()
-    pipeline = PipelineModel(stages=[*vectors.stages, model])
-    scored = pipeline.transform(rows).select(key, "label", "split", "prediction")
-    return Trained(pipeline, scored)
+    train = placed.where(F.col("split") == "train")
+    model = estimator(train).fit(train)
+    scored = model.transform(placed).select(
+        key, F.col("label").cast("int").alias("label"), "split", "prediction"
+    )
+    return Trained(PipelineModel(stages=[*vectors.stages, model]), scored)
 
 
 def train_classifier(

@@ -16,10 +16,13 @@ def is_small(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
     """Measure a table: true when rows and bytes are both within the bounds."""
-    text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     width = F.lit(16 * len(df.columns))
-    for name in text:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind == "string":
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind == "array":
+            width = width + 16 * F.coalesce(F.size(field.name), F.lit(0))
     rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
@@ -44,14 +47,9 @@ def lookup_join(
         return left.join(F.broadcast(lookup), key, how)
 
     values = [c for c in lookup.columns if c != key]
-    total = left.count()
-    hot_keys = staged(
-        left.groupBy(key)
-        .count()
-        .where(F.col("count") * HOT_KEYS > F.lit(total))
-        .select(key),
-        "hot-keys",
-    )
+    counts = staged(left.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot_keys = counts.where(F.col("n") * HOT_KEYS > F.lit(total)).select(key)
     hot = lookup.join(F.broadcast(hot_keys), key, "left_semi").select(
         F.col(key), F.struct(*values).alias("_hot")
     )

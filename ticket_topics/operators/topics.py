@@ -12,6 +12,8 @@ from ..config import N_TOPICS, TOP_TERMS, TOPIC_SEED, TOPICS
 from ..functions.arrays import argmax
 from .ranking import top_per_group
 
+ROWS_PER_PARTITION = 20_000
+
 
 def fit_lda(
     df: DataFrame,
@@ -25,9 +27,13 @@ def fit_lda(
     """Online LDA over rows in a fixed place and order.
 
     The mini-batches are drawn per partition, so the same rows in the same
-    ``partitions`` give the same model wherever they were read from.
+    ``partitions`` give the same model wherever they were read from. The default
+    number grows with the rows.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        -(-df.count() // ROWS_PER_PARTITION),
+    )
     placed = (
         df.select(key, features)
         .repartition(n, key)

@@ -27,6 +27,7 @@ from ..sources import complaints, models, runs, stages
 from ..sources.tables import read_table, spread
 from ..streaming import ingest, scoring
 from ..streaming import monitor as stream_monitor
+from . import jobs
 from . import standins as S
 
 QUERIES = {}
@@ -652,6 +653,15 @@ def score_batch(spark, folder):
     return classify.score_texts(_classifier(spark, folder).model, texts, "id")
 
 
+@query
+def service_predictions(spark, folder):
+    """Validated service records answered, the others left out."""
+    answers, _ = jobs.predict_job(
+        S.service_records(spark, folder), _classifier(spark, folder).model
+    )
+    return answers
+
+
 @query
 def score_stream(spark, folder):
     schema = read_table(spark, folder, "conversations").schema
@@ -783,15 +793,8 @@ def dq_numeric_id(spark, folder):
 
 @query
 def dq_quarantine(spark, folder):
-    checked = quality.validate(_flat_records(spark, folder))
-    valid, bad = quality.route(checked)
-    return valid.select(
-        F.col("id").cast("string").alias("id"),
-        F.lit("valid").alias("route"),
-        F.lit("").alias("errors"),
-    ).unionByName(
-        bad.select("id", F.lit("quarantine").alias("route"), F.array_join("errors", ",").alias("errors"))
-    )
+    checked = quality.with_route(quality.validate(_flat_records(spark, folder)))
+    return checked.select("id", "route", F.array_join("errors", ",").alias("errors"))
 
 
 # --- monitoring --------------------------------------------------------------
