@@ -28,10 +28,11 @@ def fit_lda(
 
     The mini-batches are drawn per partition, so the same rows in the same
     ``partitions`` give the same model wherever they were read from. The default
-    number grows with the rows.
+    number is that of the cores and grows with the rows; set it to repeat a fit
+    on a cluster of another size.
     """
     n = partitions or max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        df.sparkSession.sparkContext.defaultParallelism,
         -(-df.count() // ROWS_PER_PARTITION),
     )
     placed = (
