@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
         **{
             "spark.master": "local[4]",
             "spark.driver.memory": "6g",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),

@@ -49,7 +49,7 @@ what's when's where's who's why's would
 
 def ticket_tokens(c: Column, stop_words=ENGLISH_STOP_WORDS, drop_empty=False) -> Column:
     """Lower-cased tokens split at single white space, without stop words."""
-    return X.remove_stopwords(X.tokenize_ws(c, drop_empty), stop_words)
+    return _without(X.tokenize_ws(c, drop_empty), stop_words)
 
 
 def dictionary_tokens(c: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
@@ -57,8 +57,13 @@ def dictionary_tokens(c: Column, stop_words=ENGLISH_STOP_WORDS) -> Column:
 
     Pass another list for another stop-word convention, or ``()`` for none.
     """
-    tokens = X.word_tokens(c)
-    return X.remove_stopwords(tokens, stop_words) if stop_words else tokens
+    return _without(X.word_tokens(c), stop_words)
+
+
+def _without(lowered: Column, stop_words) -> Column:
+    """The tokens are lower-case already, so the list alone is lowered."""
+    low = sorted({w.lower() for w in stop_words})
+    return X.remove_stopwords(lowered, low, case_sensitive=True) if low else lowered
 
 
 def term_table(df: DataFrame, tokens: Column) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,8 @@ def stream_rates(
     )
 
 
-def closed_windows(rates: DataFrame, last: DataFrame, watermark: str = WATERMARK):
-    """Batch windows a stream has emitted once it saw everything up to ``last``,
-    a one-row frame with the latest event time ``last_ts``."""
-    limit = last.select((F.col("last_ts") - F.expr(f"interval {watermark}")).alias("lim"))
-    return rates.join(F.broadcast(limit), F.col("window_end") <= F.col("lim"), "left_semi")
+def closed_windows(
+    rates: DataFrame, last: datetime, watermark: str = WATERMARK
+) -> DataFrame:
+    """Batch windows a stream has emitted once it saw everything up to ``last``."""
+    return rates.where(F.col("window_end") <= F.lit(last) - F.expr(f"interval {watermark}"))
