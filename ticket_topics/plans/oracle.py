@@ -244,7 +244,7 @@ ORACLE["tfidf"] = with_(
     f"SELECT c.id, c.term, v.term_id, c.tf, round(c.tf * {IDF}, 6) AS weight "
     "FROM counts c JOIN vocabulary v ON c.term = v.term",
 )
-ORACLE["tfidf_pipeline"] = with_(
+ORACLE["tfidf_vectors"] = with_(
     TICKET_VOCAB,
     f"SELECT c.id, v.term_id, round(c.tf * {IDF}, 6) AS weight "
     "FROM counts c JOIN vocabulary v ON c.term = v.term",
@@ -486,15 +486,11 @@ ORACLE["dq_quarantine"] = with_(
 _METRIC = "trim(regexp_replace(lower(topic_name), '[^a-z0-9]+', '_', 'g'), '_')"
 
 
-def counters(where: str) -> str:
-    return with_(
-        [EVENTS, DIM, f"seen AS (SELECT topic, count(*) AS n FROM ev WHERE {where} GROUP BY topic)"],
+for key in ("topic_counters", "topic_counters_stream"):
+    ORACLE[key] = with_(
+        [EVENTS, DIM, "seen AS (SELECT topic, count(*) AS n FROM ev GROUP BY topic)"],
         f"SELECT dim.topic, {_METRIC} AS metric_name, coalesce(n, 0) AS n FROM dim LEFT JOIN seen ON dim.topic = seen.topic",
     )
-
-
-ORACLE["topic_counters"] = counters("topic <> 2")
-ORACLE["topic_counters_stream"] = counters("true")
 RATES = [
     EVENTS,
     "wins AS (SELECT topic, CAST(floor(epoch(ts) / 60) AS BIGINT) * 60 - 60 * unnest(range(0, 5)) AS start FROM ev)",

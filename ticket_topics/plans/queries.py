@@ -378,7 +378,7 @@ def _vectorizer(spark, folder) -> PipelineModel:
 
 
 @query
-def tfidf_pipeline(spark, folder):
+def tfidf_vectors(spark, folder):
     vectors = _vectorizer(spark, folder).transform(_cleaned(spark, folder))
     rows = vectors.select("id", F.inline(features.vector_entries(F.col("features"))))
     return rows.select("id", F.col("term_id").cast("bigint").alias("term_id"), r6("weight").alias("weight"))
@@ -802,8 +802,7 @@ def dq_quarantine(spark, folder):
 
 @query
 def topic_counters(spark, folder):
-    seen = _events(spark, folder).where(F.col("topic") != 2)
-    return monitor.topic_counters(seen)
+    return monitor.topic_counters(_events(spark, folder))
 
 
 def _rates(rows: DataFrame) -> DataFrame:
