@@ -420,17 +420,32 @@ def tfidf_l2_all(spark, folder):
 # --- topics ------------------------------------------------------------------
 
 
-def _lda(spark, folder):
-    def build():
-        vectors = _vectorizer(spark, folder).transform(_cleaned(spark, folder))
-        return topics.fit_lda(vectors, k=N_TOPICS)
+def _vectors(spark, folder):
+    """``id, features`` of the documents, stored: the fit and the labels share it."""
+    return artifact(
+        spark,
+        folder,
+        "vectors",
+        lambda: staged(
+            _vectorizer(spark, folder)
+            .transform(_cleaned(spark, folder))
+            .select("id", "features"),
+            "vectors",
+        ),
+    )
 
-    return artifact(spark, folder, "lda", build)
+
+def _lda(spark, folder):
+    return artifact(
+        spark,
+        folder,
+        "lda",
+        lambda: topics.fit_lda(_vectors(spark, folder), k=N_TOPICS),
+    )
 
 
 def _lda_labels(spark, folder):
-    vectors = _vectorizer(spark, folder).transform(_cleaned(spark, folder))
-    return topics.assign_topics(vectors, _lda(spark, folder))
+    return topics.assign_topics(_vectors(spark, folder), _lda(spark, folder))
 
 
 @query
