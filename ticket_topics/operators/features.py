@@ -107,9 +107,7 @@ def count_terms(
 ) -> DataFrame:
     """``keys, term, tf`` and the vocabulary's columns; unknown terms are dropped."""
     counts = df.select(*keys, F.inline(term_frequencies(tokens)))
-    return lookup_join(
-        counts, vocabulary, "term", F.struct(*keys), how="inner", **bounds
-    )
+    return lookup_join(counts, vocabulary, "term", how="inner", **bounds)
 
 
 def idf(df_col: Column, n_docs: int) -> Column:
@@ -153,19 +151,14 @@ def tfidf_l2(
     n_docs: int | None = None,
     **bounds,
 ) -> DataFrame:
-    """Smoothed TF-IDF with unit length per document, no vocabulary limit.
-
-    Documents are put in place by key before their words are exploded, so the
-    per-document length needs no shuffle of the long rows.
-    """
+    """Smoothed TF-IDF with unit length per document, no vocabulary limit."""
     n = df.count() if n_docs is None else n_docs
     tokens = dictionary_tokens(F.col(text), stop_words)
     if vocabulary is None:
         vocabulary = staged(
             build_vocabulary(df, tokens, None, min_df, max_df, n), "vocabulary"
         )
-    placed = df.select(key, text).repartition(key)
-    rows = count_terms(placed, tokens, vocabulary, key, **bounds)
+    rows = count_terms(df.select(key, text), tokens, vocabulary, key, **bounds)
     raw = F.col("tf") * smooth_idf(F.col("df"), n)
     rows = rows.select(key, "term", "term_id", "tf", raw.alias("_w"))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))

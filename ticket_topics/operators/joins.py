@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BROADCAST_BYTES, BROADCAST_ROWS
 from ..session import staged
 
-# A key above this share of all rows is hot; there are at most this many of them.
-HOT_KEYS = 1000
+# A key is hot when its rows exceed the mean shuffle partition divided by this.
+HOT_PARTS = 4
 
 
 def is_small(
@@ -27,51 +27,70 @@ def is_small(
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
+def hot_keys(counts: DataFrame, key: str, n: str = "n") -> DataFrame:
+    """Keys with more rows than a quarter of the mean shuffle partition.
+
+    ``counts`` is a stored table of one row per key. As the shares add up to one,
+    at most ``HOT_PARTS`` keys per shuffle partition are hot, whatever the data.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    return counts.where(F.col(n) * F.lit(HOT_PARTS * parts) > F.lit(total)).select(key)
+
+
+def skew_join(
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how: str = "left"
+) -> DataFrame:
+    """Join ``left`` with one row of ``right`` per ``key`` without a hot shuffle key.
+
+    ``hot`` holds the hot keys (:func:`hot_keys`). Rows of hot keys are answered
+    from a broadcast and rows without a key from nothing; neither enters the
+    shuffle, which sees the cold keys only. ``left`` is read three times: give a
+    stored table. ``how`` is left or inner.
+    """
+    values = [c for c in right.columns if c != key]
+    order = [*left.columns, *values]
+    hot_right = right.join(F.broadcast(hot), key, "left_semi")
+    cold = left.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
+    parts = [
+        left.join(F.broadcast(hot_right), key, "inner").select(*order),
+        cold.join(right, key, how).select(*order),
+    ]
+    if how == "left":
+        # a hot key that the dictionary lacks stays unanswered
+        unknown = hot.join(hot_right.select(key), key, "left_anti")
+        empty = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in values]
+        parts.append(
+            left.join(F.broadcast(unknown), key, "left_semi").select(*left.columns, *empty)
+        )
+        parts.append(left.where(F.col(key).isNull()).select(*left.columns, *empty))
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.unionByName(part)
+    return joined
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     key: str,
-    salt: Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``left`` with one dictionary row per ``key``; ``how`` is left or inner.
 
-    A dictionary measured to be small is broadcast. Beyond the bound the keys
-    above 1/1000 of the rows of ``left`` (at most 1000 keys) are broadcast and
-    the others are joined by a shuffle, in which no key is hot. ``salt`` spreads
-    the rows already answered over that shuffle; it must be a function of the row.
+    A dictionary measured to be small is broadcast where the rows lie. Beyond the
+    bound ``left`` is stored once, its keys are counted, and :func:`skew_join`
+    answers the hot ones apart. Both ways give the same rows.
     """
     if is_small(lookup, max_rows, max_bytes):
-        return left.join(F.broadcast(lookup), key, how)
-
-    values = [c for c in lookup.columns if c != key]
-    counts = staged(left.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot_keys = counts.where(F.col("n") * HOT_KEYS > F.lit(total)).select(key)
-    hot = lookup.join(F.broadcast(hot_keys), key, "left_semi").select(
-        F.col(key), F.struct(*values).alias("_hot")
-    )
-    cold = lookup.join(F.broadcast(hot_keys), key, "left_anti").select(
-        F.col(key).alias("_key"),
-        F.lit(0).cast("bigint").alias("_part"),
-        F.struct(*values).alias("_cold"),
-    )
-    step = left.join(F.broadcast(hot), key, "left")
-    done = F.col("_hot").isNotNull() | F.col(key).isNull()
-    step = step.withColumn("_want", F.when(~done, F.col(key))).withColumn(
-        "_spread",
-        F.when(done, F.pmod(F.xxhash64(salt), F.lit(HOT_KEYS)) + 1).otherwise(F.lit(0)),
-    )
-    joined = step.join(
-        cold,
-        (F.col("_want") == F.col("_key")) & (F.col("_spread") == F.col("_part")),
-        "left",
+        return left.join(F.broadcast(lookup), key, how).select(
+            *left.columns, *[c for c in lookup.columns if c != key]
+        )
+    stored = staged(left, "lookup-rows")
+    counts = staged(
+        stored.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")),
+        "key-counts",
     )
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    if how == "inner":
-        joined = joined.where(found.isNotNull())
-    picked = [found[c].alias(c) for c in values]
-    rest = [F.col(c) for c in left.columns if c != key]
-    return joined.select(F.col(key), *rest, *picked)
+    return skew_join(stored, lookup, key, hot_keys(counts, key), how)

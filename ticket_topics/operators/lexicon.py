@@ -113,8 +113,7 @@ def _by_join(
     first token."""
     rest = [c for c in df.columns if c != key]
     tokens = (
-        df.repartition(key)
-        .select(
+        df.select(
             "*",
             F.posexplode_outer(X.words(F.coalesce(F.col(column), F.lit("")))).alias(
                 "_pos", "form"
@@ -131,7 +130,6 @@ def _by_join(
         tokens,
         compiled,
         "form",
-        F.struct(F.col(key), F.col("_pos")),
         max_rows=max_rows,
         max_bytes=max_bytes,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,13 +26,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below ``spark.checkpoint.dir``, which the cluster shares.
 
     Where the setting is missing and Spark runs in one process, a temporary
-    folder takes its place; on a cluster the missing setting is an error.
+    folder is set for the session; on a cluster the missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^,\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="ticket-topics-")
         spark.sparkContext.setCheckpointDir(base)
