@@ -8,7 +8,35 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, token_counts
+from . import bpe, exact_dedup, pii, token_counts, url_filter
+
+
+URL_RULES = (
+    url_filter.Rule(True, "org", "/"),
+    url_filter.Rule(False, "example.org", "/es/"),
+    url_filter.Rule(False, "example.org", "/en/1"),
+    url_filter.Rule(True, "com", "/fr/"),
+    url_filter.Rule(False, "com", "/de/"),
+)
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    judged = url_filter.judge_urls(read_table(spark, folder, "pages"), URL_RULES)
+    return judged.select(
+        F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score"
+    )
+
+
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans_of(read_table(spark, folder, "documents"))
+    spans = F.col("spans")
+    counts = [pii.count_of(spans, kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(pii.span_text(pii.base_spans(spans)), 256).alias("base_sha256"),
+        pii.span_text(spans).alias("spans"),
+    )
 
 
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,6 +73,8 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
+    "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
