@@ -13,4 +13,17 @@ SELECT doc_id,
 FROM t
 """
 
-ORACLE = {"op6_exact_dedup": OP6}
+OP9 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h
+  FROM pages
+), q AS (
+  SELECT *, max(page_id) OVER (PARTITION BY h) AS keep FROM p
+)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id <> keep THEN keep END AS refers_to
+FROM q
+"""
+
+ORACLE = {"op6_exact_dedup": OP6, "op9_warc": OP9}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, pii, token_counts, url_filter
+from . import bpe, exact_dedup, pii, token_counts, url_filter, warc
 
 
 URL_RULES = (
@@ -72,10 +72,22 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumnRenamed("id", "doc_id")
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive_round_trip(read_table(spark, folder, "pages"))
+    return records.select(
+        F.col("id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
+    "op9_warc": op9_warc,
 }
