@@ -61,8 +61,9 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.Table.from_batches([batch] if carry is None else [carry, batch])
-        rows = table.combine_chunks().to_batches()[0]
+        rows = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)
+        if carry is not None:
+            rows = pa.concat_batches([carry, rows])
         first = np.zeros(rows.num_rows, dtype=bool)
         first[0] = True
         for key in keys:
@@ -71,8 +72,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first[1:] |= changed.to_numpy(zero_copy_only=False)
         starts = np.flatnonzero(first)
         sizes = np.add.reduceat(rows.column("n").to_numpy(), starts)
-        merged = rows.take(pa.array(starts))
-        merged = merged.set_column(merged.schema.get_field_index("n"), "n", pa.array(sizes))
+        merged = rows.drop_columns(["n"]).take(pa.array(starts))
+        merged = merged.append_column("n", pa.array(sizes, pa.int64()))
         if merged.num_rows > 1:
             yield merged.slice(0, merged.num_rows - 1)
         carry = merged.slice(merged.num_rows - 1)
