@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, pii, token_counts, url_filter, warc
+from . import bpe, exact_dedup, packing, pii, quality, token_counts, url_filter, warc
 
 
 URL_RULES = (
@@ -27,6 +27,28 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    model = quality.fit(docs, read_table(spark, folder, "labels"))
+    return quality.score_quality(docs, model).withColumnRenamed("id", "doc_id")
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Only tokens are limited: the other capacities are as wide as the tokens allow."""
+    pieces = packing.pack(
+        read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+    return pieces.select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.spans_of(read_table(spark, folder, "documents"))
     spans = F.col("spans")
@@ -85,6 +107,8 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_url_filter": op2_url_filter,
+    "op3_quality": op3_quality,
+    "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe_round_trip": op7_bpe_round_trip,
