@@ -31,7 +31,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 NO_RANK = np.iinfo(np.int32).max
 SHORT = 64  # bytes; longer words take the heap
 WIDTHS = (4, 8, 16, 32, SHORT)
-CACHE_PIECES = 200_000  # pieces a worker remembers before it starts anew
+SLICE_TOKENS = 1 << 19  # decoded at a time (or one text)
+CACHE_PIECES = 100_000  # pieces a worker remembers before it starts anew
 
 
 def byte_letters() -> dict[str, int]:
@@ -249,37 +250,55 @@ def encode_batch(texts: pa.Array, vocab: Vocabulary) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"):
+def encode(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    decoded: bool = False,
+) -> DataFrame:
     """``id, ids``: the token ids of every whole text, one row per input row.
 
     Special tokens inside a text take their own id; nothing is added, cut or
     padded. A null or empty text has no ids; repeated rows and null ids stay as
-    they are; an empty table gives no rows. ``path`` is the vocabulary file.
+    they are; an empty table gives no rows. ``path`` is the vocabulary file. With
+    ``decoded`` the text that the ids stand for is a third column, made in the same
+    pass; :func:`decode` does it for stored ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in slices(batches, "text"):
             ids = encode_batch(batch.column("text"), vocab)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), ids], ["id", "ids"])
+            columns = {"id": batch.column("id"), "ids": ids}
+            if decoded:
+                columns["decoded"] = decode_batch(ids, vocab)
+            yield pa.RecordBatch.from_pydict(columns)
 
     texts = keyed_texts(docs, id_col, text_col)
     kind = texts.schema["id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"id {kind}, ids array<int>")
+    schema = f"id {kind}, ids array<int>" + (", decoded string" if decoded else "")
+    return texts.mapInArrow(run, schema)
 
 
 def decode_batch(ids: pa.Array, vocab: Vocabulary) -> pa.Array:
     """The text of each array of ids; null for null."""
     sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
-    tokens = np.asarray(ids.flatten(), dtype=np.int64)
-    raw, taken = vocab.decode(tokens)
-    ends = np.concatenate([[0], np.cumsum(taken)])
-    offsets = ends[np.concatenate([[0], np.cumsum(sizes)])]
-    whole = raw.tobytes()
-    texts = [
-        None if null else whole[a:b].decode("utf-8", "replace")
-        for null, a, b in zip(ids.is_null().to_pylist(), offsets[:-1], offsets[1:], strict=True)
-    ]
+    tokens = ids.flatten().to_numpy()
+    ends = np.cumsum(sizes)
+    nulls = ids.is_null().to_pylist()
+    texts: list[str | None] = []
+    while len(texts) < len(ids):  # so many rows at a time
+        begin = len(texts)
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, side="right")))
+        raw, taken = vocab.decode(tokens[before : int(ends[end - 1])])
+        whole = raw.tobytes()
+        bounds = np.concatenate([[0], np.cumsum(taken)])[ends[begin:end] - before]
+        at = 0
+        for null, stop in zip(nulls[begin:end], bounds.tolist(), strict=True):
+            texts.append(None if null else whole[at:stop].decode("utf-8", "replace"))
+            at = stop
     return pa.array(texts, pa.string())
 
 

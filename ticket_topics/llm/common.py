@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A batch of texts is worked on in slices of at most this many bytes (or one text).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_of(text_col: str) -> Column:

@@ -74,9 +74,8 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    ids = bpe.encode(read_table(spark, folder, "documents"), path)
-    decoded = ids.withColumn("decoded", bpe.decode(path)("ids"))
-    return decoded.select(
+    ids = bpe.encode(read_table(spark, folder, "documents"), path, decoded=True)
+    return ids.select(
         F.col("id").alias("doc_id"),
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
