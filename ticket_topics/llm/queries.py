@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, packing, pii, quality, token_counts, url_filter, warc
+from . import bpe, exact_dedup, near_dedup, packing, pii, quality, token_counts, url_filter, vptree, warc
+
+
+def op1_vantage_point_trees(spark: SparkSession, folder: str) -> DataFrame:
+    return vptree.nearest(read_table(spark, folder, "embeddings"))
 
 
 URL_RULES = (
@@ -104,7 +108,13 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_dedup.near_groups(read_table(spark, folder, "documents"))
+    return groups.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op1_vantage_point_trees": op1_vantage_point_trees,
     "op2_url_filter": op2_url_filter,
     "op3_quality": op3_quality,
     "op4_packing": op4_packing,
@@ -113,4 +123,5 @@ QUERIES = {
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
+    "op10_order_minhash": op10_order_minhash,
 }
