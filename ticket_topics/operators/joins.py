@@ -50,6 +50,8 @@ def skew_join(
     """
     values = [c for c in right.columns if c != key]
     order = [*left.columns, *values]
+    if hot.isEmpty() and how == "inner":
+        return left.join(right, key, how).select(*order)
     hot_right = right.join(F.broadcast(hot), key, "left_semi")
     cold = left.where(F.col(key).isNotNull()).join(F.broadcast(hot), key, "left_anti")
     parts = [
