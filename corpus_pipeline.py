@@ -2,21 +2,55 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticket_topics.llm import exact_dedup
+from ticket_topics.llm import exact_dedup, near_dedup, packing, pii, quality
 from ticket_topics.session import staged
 from ticket_topics.sources.tables import read_table
 
 
+def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from the labels of those
+    it is given, but for the held-out fold."""
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality.keep_good(docs, model)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
+    """Of equal texts the document with the smallest id."""
     return exact_dedup.drop_duplicates(docs)
 
 
-STAGES = [("exact_dedup", drop_exact_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    return near_dedup.drop_near_duplicates(docs)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its personal data replaced by the names of their kinds; the
+    number of characters is that of the new text."""
+    masked = docs.withColumn("text", pii.masked(F.col("text")))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document: its token ids and its place in a sequence."""
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
+STAGES = [
+    ("quality", keep_good_quality),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("personal_data", mask_personal_data),
+    ("packing", pack_sequences),
+]
 
-# The stages after deduplication are no SQL; tests hold them against brute force.
+# Learnt scores, near duplicates and packing are no SQL; tests hold run() against
+# brute force.
 ORACLE_SQL = None
 
 

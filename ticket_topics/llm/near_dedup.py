@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import hot_keys, skew_join
 from ..session import staged
-from .common import keyed_texts, slices
+from .common import keyed_texts, slices, text_of
 from .components import components
 
 WORDS = 5
@@ -369,8 +369,30 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     other than ASCII white space, in lower case. Empty and null texts are equal to each
     other and to nothing else. An empty table gives no rows; other columns play no part.
     """
-    rows, copies, label_of = _classes(docs, id_col, text_col)
-    return _answer(rows, copies, label_of)
+    return _groups(docs, id_col, text_col).drop("digest")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of each class, the kept one, with all its columns."""
+    kept = _groups(docs, id_col, text_col).where("kept")
+    # the input row travels as one column, so that no name of it can clash
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(f"`{id_col}`").alias("id"),
+        F.unhex(F.sha2(words_of(text_of(text_col)), 256)).alias("digest"),
+    )
+    found = rows.join(
+        kept.select(F.col("id").alias("keep_id"), F.col("digest").alias("keep_digest")),
+        F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")),
+        "left_semi",
+    )
+    return found.dropDuplicates(["id", "digest"]).select("doc.*")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return _answer(*_classes(docs, id_col, text_col))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str):
@@ -457,6 +479,7 @@ def _answer(rows: DataFrame, copies: DataFrame, labels: DataFrame) -> DataFrame:
     )
     return joined.select(
         "id",
+        "digest",
         F.col("first.id").alias("class_id"),
         "class_size",
         (F.col("row") == F.col("first.row")).alias("kept"),
