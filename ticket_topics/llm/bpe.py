@@ -47,6 +47,37 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
+class PieceIds:
+    """The ids of pieces met before, in one flat array; emptied when it grows too large."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.flat = np.empty(0, dtype=np.int32)
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.starts = np.empty(0, dtype=np.int64)
+
+    def take(self, codes: np.ndarray, distinct: list[str], encode):
+        """Flat ids of the coded pieces and the number of each; ``encode`` gives the same
+        for a list of new pieces."""
+        slots = self.slots
+        new = [p for p in distinct if p not in slots]
+        if len(slots) + len(new) > self.limit:
+            self.clear()
+            slots, new = self.slots, distinct
+        if new:
+            flat, sizes = encode(new)
+            self.flat = np.concatenate([self.flat, flat.astype(np.int32, copy=False)])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.starts = np.cumsum(self.sizes) - self.sizes
+            slots.update(zip(new, range(len(slots), len(slots) + len(new)), strict=True))
+        place = np.fromiter(map(slots.__getitem__, distinct), np.int64, len(distinct))
+        return ragged_take(self.flat, self.starts, self.sizes, place[codes])
+
+
 class Vocabulary:
     """Merge ranks, token bytes and special tokens of a vocabulary file."""
 
@@ -84,7 +115,7 @@ class Vocabulary:
             else None
         )
         self.split = regex.compile(SPLIT)
-        self.pieces: dict[str, np.ndarray] = {}
+        self.known = PieceIds(CACHE_PIECES)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair; NO_RANK where the pair does not merge."""
@@ -165,12 +196,7 @@ class Vocabulary:
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of distinct pieces, and how many each has."""
-        new = [p for p in pieces if p not in self.pieces]
-        if len(self.pieces) + len(new) > CACHE_PIECES:
-            self.pieces.clear()
-            new = pieces
-        self.pieces.update(zip(new, self._encode_new(new), strict=True))
-        ids = [self.pieces[p] for p in pieces]
+        ids = self._encode_new(pieces)
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         return (np.concatenate(ids) if ids else np.empty(0, dtype=np.int32)), sizes
 
@@ -209,32 +235,57 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def pieces_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Cut texts before single spaces between other characters.
+def _byte_classes() -> np.ndarray:
+    """1 letter, 2 digit, 3 other visible ASCII; 0 the rest."""
+    classes = np.zeros(256, dtype=np.uint8)
+    for b in range(33, 127):
+        classes[b] = 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3
+    return classes
+
+
+CLASSES = _byte_classes()
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+APOSTROPHE = ord("'")
+
+
+def pieces_of(
+    texts: pa.Array, special: tuple[str, ...] = (), lower: bool = False
+) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Cut texts where the split pattern cuts whatever else they hold.
 
-    Returns the number of pieces of each text, the code of each piece and the
-    distinct pieces. A cut needs plain characters on both sides: ASCII that is no
-    white space, or letters of two bytes below U+0100. Uncut pieces are only longer.
+    That is before single spaces between plain characters (visible ASCII, or letters of
+    two bytes below U+0100), and between ASCII letters, digits and signs, but not after
+    an apostrophe, which may belong to the letter behind it. Where a special token
+    occurs only spaces cut. With ``lower`` ASCII capitals become small first. Returns the
+    number of pieces of each text, the code of each piece and the distinct pieces.
     """
     data = as_bytes(texts)
     offsets = np.frombuffer(data.buffers()[1], dtype=np.int64)[
         data.offset : data.offset + len(data) + 1
     ]
-    raw = np.frombuffer(data.buffers()[2] or b"", dtype=np.uint8)[: offsets[-1]]
-    spaces = np.flatnonzero(raw[offsets[0] :] == 32) + offsets[0]
-    spaces = spaces[(spaces >= offsets[0] + 2) & (spaces < offsets[-1] - 1)]
+    raw = np.frombuffer(data.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    whole = raw.tobytes().lower() if special else b""
+    plain = not any(token.encode().lower() in whole for token in special)
+    if lower and plain:
+        raw = LOWER[raw]
+    spaces = np.flatnonzero(raw == 32)
+    spaces = spaces[(spaces >= 2) & (spaces < len(raw) - 1)]
     ahead, behind, further = raw[spaces + 1], raw[spaces - 1], raw[spaces - 2]
-    graph = lambda b: (b > 32) & (b < 127)
-    plain = (graph(ahead) | (ahead == 0xC3)) & (
-        graph(behind) | ((behind >= 0x80) & (behind < 0xC0) & (further == 0xC3))
-    )
-    cuts = np.sort(np.concatenate([spaces[plain], offsets]), kind="stable")
+    visible = CLASSES[ahead] > 0, CLASSES[behind] > 0
+    letters = ahead == 0xC3, (behind >= 0x80) & (behind < 0xC0) & (further == 0xC3)
+    cuts = [offsets, spaces[(visible[0] | letters[0]) & (visible[1] | letters[1])]]
+    if plain:
+        kinds = CLASSES[raw]
+        change = (kinds[1:] != kinds[:-1]) & (kinds[1:] > 0) & (kinds[:-1] > 0)
+        cuts.append(np.flatnonzero(change & (raw[:-1] != APOSTROPHE)) + 1)
+    cuts = np.sort(np.concatenate(cuts), kind="stable")
     cuts = cuts[np.concatenate([[True], cuts[1:] > cuts[:-1]])]
     starts = np.searchsorted(cuts, offsets)
     pieces = pa.Array.from_buffers(
         pa.large_binary(),
         len(cuts) - 1,
-        [None, pa.py_buffer(cuts.astype(np.int64)), data.buffers()[2]],
+        [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))],
     ).dictionary_encode()
     distinct = pieces.dictionary.cast(pa.large_string()).to_pylist()
     return np.diff(starts), pieces.indices.to_numpy(), distinct
@@ -242,9 +293,8 @@ def pieces_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
 
 def encode_batch(texts: pa.Array, vocab: Vocabulary) -> pa.Array:
     """Token ids of each text."""
-    counts, codes, distinct = pieces_of(texts)
-    flat, sizes = vocab.encode_pieces(distinct)
-    ids, taken = ragged_take(flat, np.cumsum(sizes) - sizes, sizes, codes)
+    counts, codes, distinct = pieces_of(texts, tuple(vocab.special))
+    ids, taken = vocab.known.take(codes, distinct, vocab.encode_pieces)
     ends = np.concatenate([[0], np.cumsum(taken)])
     offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))

@@ -15,6 +15,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .bpe import pieces_of
-from .common import keyed_texts, ragged_take, slices
+from .bpe import PieceIds, pieces_of
+from .common import keyed_texts, slices
 
 WINDOW = 8192  # pieces packed at a time
-CACHE_PIECES = 400_000  # text pieces a worker remembers before it starts anew
+CACHE_PIECES = 800_000  # text pieces a worker remembers before it starts anew
 
 
 @dataclass(frozen=True)
@@ -103,27 +104,25 @@ def _tokenizer(path: str):
     model = Tokenizer.from_file(path)
     model.no_truncation()
     model.no_padding()
-    return model, {}
+    added = tuple(t.content for t in model.get_added_tokens_decoder().values())
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+    return encode, added, PieceIds(CACHE_PIECES)
 
 
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids of all texts and the number of each.
 
-    The tokenizer drops white space, so texts may be cut at spaces; each distinct
-    piece of text is encoded once.
+    The tokenizer drops white space and case and never joins letters and signs, so
+    texts may be cut there; each distinct piece of text is encoded once.
     """
-    model, known = _tokenizer(path)
-    counts, codes, distinct = pieces_of(texts)
-    new = [p for p in distinct if p not in known]
-    if len(known) + len(new) > CACHE_PIECES:
-        known.clear()
-        new = distinct
-    for piece, found in zip(new, model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[piece] = np.array(found.ids, dtype=np.uint32)
-    ids = [known[p] for p in distinct]
-    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-    flat = np.concatenate(ids) if ids else np.empty(0, dtype=np.uint32)
-    tokens, taken = ragged_take(flat, np.cumsum(sizes) - sizes, sizes, codes)
+    encode, added, known = _tokenizer(path)
+    counts, codes, distinct = pieces_of(texts, added, lower=True)
+    tokens, taken = known.take(codes, distinct, encode)
     ends = np.concatenate([[0], np.cumsum(taken)])
     bounds = np.concatenate([[0], np.cumsum(counts)])
     return tokens, np.diff(ends[bounds])
@@ -135,7 +134,7 @@ def _pieces(batches, path: str, separator: int, limit: int) -> Iterator[tuple]:
         tokens, sizes = token_ids(batch.column("text"), path)
         at = 0
         for key, size in zip(batch.column("id").to_pylist(), sizes.tolist(), strict=True):
-            whole = np.append(tokens[at : at + size], np.uint32(separator)).astype("<u4")
+            whole = np.append(tokens[at : at + size], separator).astype("<u4")
             at += size
             for piece, start in enumerate(range(0, len(whole), limit)):
                 part = whole[start : start + limit]
