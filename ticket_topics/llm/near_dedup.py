@@ -37,7 +37,8 @@ SKETCHES, LEAST = 32, 4
 # a handful misses more often than out of many.
 FEW_SHINGLES, SINGLE_SKETCHES = 16, 8
 SHARED = 2  # texts alike share about 13 of 32 sketches; fewer than two: one in a million
-BLOCK_ROWS = 512
+# A block of a bucket: so many texts, or so many shingles in all.
+BLOCK_ROWS, BLOCK_SHINGLES = 2048, 1 << 20
 SALTS = 64
 CELLS = 1 << 21  # cells of a block of sketches
 SEEN_DIGESTS = 200_000  # digests a task remembers before it starts anew
@@ -165,8 +166,26 @@ def _rising(places: list[int]) -> int:
     return len(tails)
 
 
-def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Similarity of two shingle sequences, 0 when it is below ``least``.
+class Sequence:
+    """The shingles of a text, with what comparisons need made once."""
+
+    def __init__(self, words: str | np.ndarray):
+        self.shingles = shingles(words) if isinstance(words, str) else words
+        self.labelled = labelled(self.shingles)
+        self._members: frozenset | None = None
+
+    def __len__(self) -> int:
+        return len(self.shingles)
+
+    @property
+    def members(self) -> frozenset:
+        if self._members is None:
+            self._members = frozenset(self.labelled.tolist())
+        return self._members
+
+
+def alike(a: Sequence, b: Sequence, least: float = SIMILARITY) -> float:
+    """Similarity of two texts, 0 when it is below ``least``.
 
     The number of common labelled shingles bounds the common subsequence from above,
     those of them that stand in the same order bound it from below; the alignment
@@ -176,16 +195,15 @@ def alike(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     if not n or not m:
         return float(n == m)
     needed = least * (n + m) / (1 + least) - 1e-9
-    if min(n, m) < needed:
+    if min(n, m) < needed or len(a.members & b.members) < needed:
         return 0.0
     common, at_a, at_b = np.intersect1d(
-        labelled(a), labelled(b), assume_unique=True, return_indices=True
+        a.labelled, b.labelled, assume_unique=True, return_indices=True
     )
-    if len(common) < needed:
-        return 0.0
     found = _rising(at_b[np.argsort(at_a)].tolist())
     if found < len(common):
-        found = max(found, banded_common(a, b, band_width(n, m, least)))
+        band = band_width(n, m, least)
+        found = max(found, banded_common(a.shingles, b.shingles, band))
     return found / (n + m - found) if found >= needed else 0.0
 
 
@@ -217,12 +235,12 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = zip(*(batch.column(c).to_pylist() for c in ("a", "b", "left", "right")), strict=True)
-        known: dict[int, np.ndarray] = {}
+        known: dict[int, Sequence] = {}
         links = []
-        for a, b, left, right in rows:
+        for a, b, left, right in rows:  # sorted by a
             if a not in known:
-                known = {a: shingles(left)}
-            if alike(known[a], shingles(right)):
+                known = {a: Sequence(left)}
+            if alike(known[a], Sequence(right)):
                 links.append((a, b))
         yield _links(links)
 
@@ -256,7 +274,7 @@ def _resolved(table: pa.Table) -> pa.Table:
     """Links that join classes inside one block of a bucket, most promising pairs first."""
     rows = table.to_pydict()
     nodes = rows["node"]
-    found = [shingles(t) for t in rows["words"]]
+    found = [Sequence(t) for t in rows["words"]]
     sizes = np.array([len(f) for f in found])
     # a text without the sketches of one shingle shares them with none
     keys = np.empty((len(nodes), SKETCHES + SINGLE_SKETCHES), dtype=np.int64)
@@ -302,7 +320,9 @@ def class_links(
     wide = staged(
         led.where("node <> leader")
         .join(labels.select("node", F.col("label").alias("found")), "node", "left")
-        .select("key", "node", "sketch", "leader", F.coalesce("found", "node").alias("label")),
+        .select(
+            "key", "node", "size", "sketch", "leader", F.coalesce("found", "node").alias("label")
+        ),
         "labelled-members",
     )
     main = labels.select(F.col("node").alias("leader"), F.col("label").alias("main"))
@@ -312,19 +332,26 @@ def class_links(
             F.min("label").alias("low"),
             F.max("label").alias("high"),
             F.count(F.lit(1)).alias("n"),
+            F.sum("size").alias("size"),
         )
         .where("low <> high")
         .join(main, "leader", "left")
-        .select("key", F.coalesce("main", "leader").alias("main"), "n"),
+        .select("key", F.coalesce("main", "leader").alias("main"), "n", "size"),
         "mixed-buckets",
     )
     parts = staged(
         skew_join(
-            wide.select("key", "node", "sketch", "label"), lead, "key", hot_keys(lead, "key"), "inner"
+            wide.select("key", "node", "sketch", "label"),
+            lead,
+            "key",
+            hot_keys(lead, "key"),
+            "inner",
         ),
         "mixed-members",
     )
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    blocks = F.ceil(
+        F.greatest(F.col("n") / BLOCK_ROWS, F.col("size") / BLOCK_SHINGLES)
+    ).cast("int")
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     placed = parts.withColumn("blocks", blocks).withColumn("block", block)
 
@@ -420,8 +447,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str):
     )
     nodes = staged(sketched.join(copies.select("node"), "node", "left_semi"), "sketches")
     members = staged(
-        nodes.select("node", F.posexplode("keys").alias("sketch", "key")).select(
-            "node", "sketch", F.xxhash64("sketch", "key").alias("key")
+        nodes.select("node", "n", F.posexplode("keys").alias("sketch", "key")).select(
+            "node", F.col("n").alias("size"), "sketch", F.xxhash64("sketch", "key").alias("key")
         ),
         "sketch-members",
     )
