@@ -167,9 +167,8 @@ def cut_of(scored: DataFrame) -> float:
     # at most 2001 rows from here on
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.partitionBy()
-    right = F.sum("n0").over(below) / F.sum("n0").over(every) - F.sum("n1").over(
-        below
-    ) / F.sum("n1").over(every)
+    share = lambda n: F.try_divide(F.sum(n).over(below), F.sum(n).over(every))
+    right = share("n0") - share("n1")
     rated = bins.select("bin", right.alias("right"))
     best = rated.agg(
         F.max("right").alias("right"), F.max_by("bin", F.struct("right", -F.col("bin"))).alias("bin")
