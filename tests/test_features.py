@@ -4,11 +4,13 @@ from collections import Counter
 
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizer
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import functions as F
 
 from ticket_topics.functions.arrays import term_frequencies
 from ticket_topics.operators import features as FE
-from ticket_topics.operators.joins import lookup_join
+from ticket_topics.operators.joins import HOT_PARTS, hot_keys, lookup_join, skew_join
+from ticket_topics.session import staged
 
 from .plans import explained
 
@@ -104,28 +106,72 @@ def test_unit_pipeline_equals_long_form(docs):
     assert got == pytest.approx(sorted(brute_l2(rows, (), 1, 1.0).values()))
 
 
-def test_vector_model_refuses_a_vocabulary_beyond_its_limit(docs):
+def test_hashed_dimensions_are_a_choice(docs):
     _, df = docs
-    vocab = FE.build_vocabulary(df, FE.ticket_tokens(F.col("text")))
-    with pytest.raises(ValueError):
-        FE.counter_model(vocab, "w", "f", limit=2)
+    hashed = FE.fit_vectorizer(df, "text", hash_features=64).transform(df).first().features
+    every = FE.fit_vectorizer(df, "text").transform(df).first().features
+    terms = FE.build_vocabulary(df, FE.ticket_tokens(F.col("text"))).count()
+    assert hashed.size == 64 and every.size == terms
 
 
-def test_lookup_join_hot_key(spark):
-    left = spark.range(3000).select(
+def test_stop_words_are_those_of_spark(spark):
+    assert sorted(FE.ENGLISH_STOP_WORDS) == sorted(StopWordsRemover.loadDefaultStopWords("english"))
+
+
+def rows_with_a_hot_key(spark, n=3000):
+    return spark.range(n).select(
         "id",
-        F.when(F.col("id") % 3 == 0, "hot")
+        F.when(F.col("id") % 5 < 2, "hot")
         .when(F.col("id") % 7 == 0, None)
         .otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
         .alias("key"),
     )
+
+
+def test_lookup_join_both_ways(spark):
+    left = rows_with_a_hot_key(spark)
     lookup = spark.range(2000).select(
         F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.col("id").alias("v")
-    ).unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
-    for how in ("left", "inner"):
-        small = lookup_join(left, lookup, "key", how)
-        large = lookup_join(left, lookup, "key", how, max_rows=0)
-        order = ["id", "key", "v"]
-        assert sorted(map(str, small.select(order).collect())) == sorted(
-            map(str, large.select(order).collect())
-        )
+    )
+    known = lookup.unionByName(spark.createDataFrame([("hot", -1)], "key string, v bigint"))
+    # a hot key that the dictionary has, and one that it lacks
+    for table in (known, lookup):
+        for how in ("left", "inner"):
+            small = lookup_join(left, table, "key", how)
+            large = lookup_join(left, table, "key", how, max_rows=0)
+            order = ["id", "key", "v"]
+            assert sorted(map(str, small.select(order).collect())) == sorted(
+                map(str, large.select(order).collect())
+            )
+
+
+def test_no_task_gets_the_hot_key(spark):
+    """The shuffle is on the key, and the rows of 40 % hot and all null keys stay out of it."""
+    left = staged(rows_with_a_hot_key(spark, 20_000), "left")
+    right = left.where("key <> 'hot'").select("key", F.col("id").alias("v"))
+    counts = staged(left.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n")), "counts")
+    hot = hot_keys(counts, "key")
+    assert [r.key for r in hot.collect()] == ["hot"]
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = skew_join(left, right, "key", hot, "inner")
+        plan = explained(joined)
+        assert "hashpartitioning(key" in plan
+        cold = left.where("key IS NOT NULL").join(F.broadcast(hot), "key", "left_anti")
+        sizes = [
+            r.n
+            for r in cold.repartition("key").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+        ]
+        assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+        assert joined.count() == right.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_keys_are_few(spark):
+    for n in (10, 1000):
+        counts = spark.range(n).select(F.col("id").alias("key"), F.lit(1).alias("n"))
+        assert hot_keys(counts, "key").count() <= HOT_PARTS * 2

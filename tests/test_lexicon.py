@@ -56,6 +56,25 @@ def test_lemmas_and_nouns(spark, bounds, unknown):
     assert {r.id: r.complaint_cleaned for r in out.collect()} == TEXTS
 
 
+AWKWARD = [
+    ("form", "NN", "b"), ("form", "AA", "c"), ("cats", "NNS", "cat"), ("cats", "NNS", "cot"),
+    ("dogs", "NN", None), ("none", None, "none"), (None, "NN", "lost"), ("cat", "NN", "cat"),
+]
+
+
+@pytest.mark.parametrize("unknown", [None, "NN"])
+def test_both_ways_on_awkward_lexicons_and_ids(spark, unknown):
+    """Double and missing ids, two entries of a form, forms without lemma or tag."""
+    lexicon_ = spark.createDataFrame(AWKWARD, "form string, tag string, lemma string")
+    rows = [(1, "cats dogs"), (1, "form bark"), (1, "cats dogs"), (None, "none x"), (None, "cat"), (2, None)]
+    df = spark.createDataFrame(rows, "id int, complaint_cleaned string")
+    out = [
+        sorted(map(str, L.lemmatize_and_tag(df, lexicon_, unknown_tag=unknown, **bounds).collect()))
+        for bounds in ({}, {"max_rows": 0})
+    ]
+    assert out[0] == out[1] and len(out[0]) == len(rows)
+
+
 def test_preprocess(spark):
     raw = spark.createDataFrame(
         [

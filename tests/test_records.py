@@ -72,7 +72,7 @@ def test_fill_and_profile(spark):
 def test_csv_roundtrip(spark, tmp_path):
     flat = R.flatten_complaints(raw(spark))
     stages.write_csv(flat, str(tmp_path / "c"))
-    back = R.fill_null_text(stages.read_csv(spark, str(tmp_path / "c"), flat.schema))
+    back = R.fill_null_text(stages.read_csv(spark, str(tmp_path / "c"), flat.schema, True))
     got = [r.complaint_what_happened for r in back.orderBy("id").collect()]
     assert got == [t or "" for t in TEXTS]
 

@@ -10,20 +10,21 @@ from ticket_topics.operators import classify, monitor, quality
 from ticket_topics.operators.records import TEXT
 from ticket_topics.plans import jobs
 from ticket_topics.operators.lexicon import induce_lexicon
+from ticket_topics.config import TOPICS
 from ticket_topics.schema import RAW_COMPLAINT, SERVICE_RECORD
 from ticket_topics.sources import models, runs, stages
 from ticket_topics.streaming import ingest, monitor as stream_monitor, scoring
 
 GOOD = {
-    "complaint_id": "3211475",
-    "issue": "Debt",
-    "date_received": "2019-04-13T12:00:00-05:00",
-    "state": "CA",
-    "product": "Debt collection",
+    "complaint_id": "77001",
+    "issue": "Late fee",
+    "date_received": "2024-02-03T08:30:00+01:00",
+    "state": "OR",
+    "product": "Savings",
     "company_response": "Closed",
     "company": "Bank",
     "submitted_via": "Web",
-    "date_sent_to_company": "2019-04-13T12:00:00-05:00",
+    "date_sent_to_company": "2024-02-04T08:30:00+01:00",
     "timely": "Yes",
     "complaint_what_happened": None,
 }
@@ -38,7 +39,7 @@ def test_quarantine(spark):
         record("1"),
         record("2", state="CAL"),
         record("3", timely="Maybe"),
-        record("4", date_received="13/04/2019"),
+        record("4", date_received="03/02/2024"),
         record("abc"),
         record("6", company=None),
         record("7", state="CAL", timely=None, date_sent_to_company="x"),
@@ -113,8 +114,33 @@ def test_stream_equals_closed_batch_windows(spark, tmp_path):
     want = epochs(stream_monitor.closed_windows(monitor.topic_rates(batch), last))
     assert epochs(spark.read.schema(rates.schema).parquet(str(tmp_path / "out"))) == want
     assert want
-    counters = stream_monitor.stream_counters(stream, str(tmp_path / "cp2"))
-    assert sorted(counters.collect()) == sorted(monitor.topic_counters(batch).collect())
+    paths = str(tmp_path / "counts"), str(tmp_path / "cp2")
+    want = sorted(monitor.topic_counters(batch).collect())
+    assert sorted(stream_monitor.stream_counters(stream, *paths).collect()) == want
+    # without new files the counts stay, and a further file adds to them
+    again = ingest.file_stream(spark, str(tmp_path / "in"), batch.schema, "parquet")
+    assert sorted(stream_monitor.stream_counters(again, *paths).collect()) == want
+    more = spark.createDataFrame([(rows[0][0], 0), (rows[0][0], 99), (rows[0][0], None)], schema)
+    more.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = {r.topic: r.n for r in stream_monitor.stream_counters(again, *paths).collect()}
+    before = {r.topic: r.n for r in want}
+    assert got == before | {0: before[0] + 1, -1: before[-1] + 2}
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["12:30:00", "T12:30", "2019", "2019-4-3", "2024-02-30T10:00:00Z", "2024-02-03", "now", ""],
+)
+def test_timestamps_of_another_form_are_refused(spark, value):
+    df = spark.createDataFrame([(value,)], "t string")
+    assert df.select(quality.timestamp("t")).first()[0] is None
+
+
+def test_timestamps_without_an_offset_are_utc(spark):
+    rows = ["2024-02-03T10:00:00", "2024-02-03 10:00", "2024-02-03T10:00:00.5Z", "2024-02-03T11:00:00+01:00"]
+    df = spark.createDataFrame([(v,) for v in rows], "t string")
+    got = [r[0] for r in df.select(F.unix_seconds(quality.timestamp("t"))).collect()]
+    assert set(got) == {1706954400}
 
 
 def test_ingest_takes_only_new_files(spark, tmp_path):
@@ -179,17 +205,22 @@ def test_chain_runs_twice_and_compares(spark, tmp_path):
     catalog = stages.StageCatalog(str(tmp_path / "stages"))
     args = (spark, str(source), lexicon, catalog, "ab")
     first = jobs.run_chain(*args, "run-1", datetime(2024, 1, 1), relabel=True).collect()
-    assert len(first) == 4 and {r.verdict for r in first} == {None}
+    assert len(first) == 6 and {r.verdict for r in first} == {None}
+    by_metric = {r.metric: r["mean"] for r in first}
+    assert by_metric["train_accuracy"] > 0.9 and by_metric["test_accuracy"] > 0.5
+    top = spark.read.parquet(catalog.model("topic_terms"))
+    assert top.columns == ["topic", "rank", "term", "weight"] and top.count() > 0
     labels = spark.read.parquet(catalog.labeled(str(source)))
-    assert labels.count() == 90 and "topic" in labels.columns
+    assert labels.count() == 90
+    assert {(r.topic, r.topic_name) for r in labels.collect()} <= set(TOPICS)
     relabeled = {r.id: r.topic for r in labels.collect()}
     second = jobs.run_chain(*args, "run-2", datetime(2024, 1, 2)).collect()
-    assert len(second) == 4
+    assert len(second) == 6
     again = spark.read.parquet(catalog.labeled(str(source)))
     assert {r.id: r.topic for r in again.collect()} == relabeled
     jobs.run_chain(*args, "run-2", datetime(2024, 1, 2))
     history = runs.read_runs(spark, catalog.run_metrics(), "ab")
-    assert history.count() == 8
+    assert history.count() == 12
     with pytest.raises(ValueError):
         jobs.label_job(spark, str(source), catalog, mode="other")
 
@@ -203,11 +234,50 @@ def test_chain_runs_twice_and_compares(spark, tmp_path):
         themes.setdefault(int(r.id) % 3, set()).add(r.topic)
     # five topics for three themes: a theme may be split, but none is shared
     assert sum(map(len, themes.values())) == len(set().union(*themes.values()))
-    assert len(jobs.run_chain(*args, "run-2", datetime(2024, 1, 2), **kinds).collect()) == 4
+    assert len(jobs.run_chain(*args, "run-2", datetime(2024, 1, 2), **kinds).collect()) == 6
     again = spark.read.parquet(other.labeled(str(source))).select("id", "topic").collect()
     assert sorted(again) == sorted(labels)
 
 
+def test_csv_stage_in_the_chain(spark, tmp_path):
+    source = tmp_path / "in.json"
+    source.write_text(
+        json.dumps({"_id": "1", "_source": {"complaint_what_happened": 'Card, "fee"\nloan'}})
+    )
+    words = [(w, "NN", w) for w in ("card", "fee", "loan")]
+    lexicon = induce_lexicon(spark.createDataFrame(words, "form string, tag string, lemma string"))
+    rows = {}
+    for fmt in ("parquet", "csv"):
+        catalog = stages.StageCatalog(str(tmp_path / fmt))
+        stage = jobs.preprocess_job(spark, str(source), lexicon, catalog, fmt=fmt)
+        rows[fmt] = [r.asDict() for r in stage.collect()]
+    assert rows["csv"] == rows["parquet"]
+
+
+def test_scoring_service(spark, tmp_path):
+    model = classify.train_classifier(training(spark)).model
+    src = str(tmp_path / "in")
+    batches = [
+        [record("1", complaint_what_happened="visa limit card"), record("abc")],
+        [record("2", complaint_what_happened="fraud police"), record("3", state="CAL", timely="No")],
+    ]
+    service = scoring.ScoringService(model, str(tmp_path / "out"), str(tmp_path / "cp"))
+    seen = []
+    for batch in batches:
+        spark.createDataFrame(batch, SERVICE_RECORD).coalesce(1).write.mode("append").parquet(src)
+        service.run(ingest.file_stream(spark, src, SERVICE_RECORD, "parquet"))
+        seen += batch
+        answers, refused = jobs.predict_job(spark.createDataFrame(seen, SERVICE_RECORD), model)
+        assert sorted(service.answers().collect()) == sorted(answers.collect())
+        assert sorted((r.id, r.errors) for r in service.refused().collect()) == sorted(
+            (r.id, r.errors) for r in refused.collect()
+        )
+    service.run(ingest.file_stream(spark, src, SERVICE_RECORD, "parquet"))
+    counts = {r.topic: r.n for r in service.counters().collect()}
+    assert sum(counts.values()) == 2 and counts[-1] == 0
+    assert service.rates().agg(F.sum("n")).first()[0] == 10
+
+
 def test_predict_job(spark):
     model = classify.train_classifier(training(spark)).model
     rows = [

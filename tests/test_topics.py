@@ -45,7 +45,7 @@ def test_lda_label_after_relabel(spark, planted, tmp_path):
 def test_lda_is_the_same_whatever_the_input_partitions(spark, planted):
     vectors = FE.fit_vectorizer(planted, "text")
     models_ = [
-        T.fit_lda(vectors.transform(planted.repartition(n)), k=3, partitions=4, maxIter=5)
+        T.fit_lda(vectors.transform(planted.repartition(n)), k=3, maxIter=5)
         for n in (1, 5)
     ]
     a, b = (m.topicsMatrix().toArray() for m in models_)
@@ -66,7 +66,8 @@ def test_nmf_finds_planted_topics(planted):
     assert all(b <= a + 1e-9 for a, b in zip(fit.losses, fit.losses[1:]))
     h = np.array([r.h for r in fit.factor.collect()])
     assert (h >= 0).all()
-    scored = N.nmf_transform(docs, vocab, fit.factor)
+    scored = N.nmf_transform(docs, fit.factor)
+    assert fit.converged
     labels = N.label_documents(planted.select("id", "theme"), scored).collect()
     assert len(labels) == 91
     for theme in range(3):
@@ -85,7 +86,7 @@ def test_nmf_loss_is_the_distance(planted):
     h = np.zeros((vocab.count(), 2))
     for r in fit.factor.collect():
         h[r.j] = r.h
-    w = {r.id: np.array(r.mixture) for r in N.nmf_transform(docs, vocab, fit.factor).collect()}
+    w = {r.id: np.array(r.mixture) for r in N.nmf_transform(docs, fit.factor).collect()}
     loss = 0.0
     for r in docs.collect():
         x = np.zeros(len(h))
@@ -95,18 +96,18 @@ def test_nmf_loss_is_the_distance(planted):
     assert loss == pytest.approx(fit.losses[-1], rel=1e-3)
 
 
-def test_nmf_array_and_table_ways_agree(planted):
+def test_nmf_joins_agree(planted):
     vocab, docs = nmf_rows(planted)
     a = N.fit_nmf(docs, vocab, k=3, max_iter=2, tol=0.0)
-    b = N.fit_nmf(docs, vocab, k=3, max_iter=2, tol=0.0, max_cells=0, max_rows=0)
-    assert a.losses == pytest.approx(b.losses)
+    b = N.fit_nmf(docs, vocab, k=3, max_iter=2, tol=0.0, max_rows=0)
+    assert a.losses == pytest.approx(b.losses) and not a.converged
     left = {r.j: r.h for r in a.factor.collect()}
     right = {r.j: r.h for r in b.factor.collect()}
     assert left.keys() == right.keys()
     for j in left:
         assert left[j] == pytest.approx(right[j], abs=1e-6)
-    one = {r.id: r.mixture for r in N.nmf_transform(docs, vocab, a.factor).collect()}
-    two = {r.id: r.mixture for r in N.nmf_transform(docs, vocab, a.factor, max_cells=0).collect()}
+    one = {r.id: r.mixture for r in N.nmf_transform(docs, a.factor).collect()}
+    two = {r.id: r.mixture for r in N.nmf_transform(docs, a.factor, max_rows=0).collect()}
     for i in one:
         assert one[i] == pytest.approx(two[i], abs=1e-6)
 

@@ -26,12 +26,6 @@ RATE_WINDOW_SECONDS = 300
 RATE_THRESHOLD = 0.3
 WATERMARK = "10 minutes"
 
-# Spark's own default size of a count-vectoriser vocabulary.
-VOCAB_SIZE = 1 << 18
-
 # A table is broadcast only when it was measured to be below both bounds.
 BROADCAST_ROWS = 1 << 20
 BROADCAST_BYTES = 64 << 20
-
-# Cells (terms x topics) up to which a factor matrix is kept as one array.
-FACTOR_CELLS = 1 << 22

@@ -9,7 +9,7 @@ from pyspark.ml.classification import LogisticRegression, OneVsRest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import LR_MAX_ITER, VOCAB_SIZE
+from ..config import LR_MAX_ITER
 from ..session import staged
 from .evaluate import accuracy
 from .features import fit_unit_vectorizer, fit_vectorizer
@@ -73,18 +73,20 @@ def train_classifier(
     label: str = "topic",
     train_percent: int = 80,
     fit_on: str = "all",
-    vocab_size: int = VOCAB_SIZE,
+    vocab_size: int | None = None,
+    hash_features: int | None = None,
     max_iter: int = LR_MAX_ITER,
     **params,
 ) -> Trained:
     """Multinomial logistic regression on TF-IDF of the ticket tokens.
 
-    ``fit_on`` is ``all`` (weights from every row) or ``train``.
+    ``fit_on`` is ``all`` (weights from every row) or ``train``. ``hash_features`` is
+    the number of hashed dimensions for vocabularies beyond one node.
     """
     rows = fill_null_text(df.select(key, text, F.col(label).alias("label")), text)
     return _fit(
         rows,
-        lambda d: fit_vectorizer(d, text, vocab_size),
+        lambda d: fit_vectorizer(d, text, vocab_size, hash_features=hash_features),
         lambda _: logistic_regression(max_iter, **params),
         key,
         text,

@@ -54,7 +54,7 @@ def complete_runs(runs: DataFrame, n_metrics: int = len(METRICS)) -> DataFrame:
     """Rows of runs that logged every metric."""
     w = Window.partitionBy("experiment", "run_id")
     return (
-        runs.withColumn("_n", F.count("mean").over(w))
+        runs.withColumn("_n", F.count(F.when(F.col("metric").isin(*METRICS), F.col("mean"))).over(w))
         .where(F.col("_n") >= n_metrics)
         .drop("_n")
     )
@@ -92,7 +92,7 @@ def compare_runs(runs: DataFrame, alpha: float = ALPHA) -> DataFrame:
 
 def verdict_text(tested: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """Add the sentence that reports a verdict."""
-    how = F.when(F.col("p_value") < alpha, "has").otherwise("does not have")
+    change = F.when(F.col("p_value") < alpha, "changed").otherwise("did not change")
     return tested.withColumn(
         "report",
         F.when(
@@ -100,10 +100,10 @@ def verdict_text(tested: DataFrame, alpha: float = ALPHA) -> DataFrame:
             F.concat(
                 "metric",
                 F.lit(" "),
-                how,
-                F.lit(" statistically significant difference (p_value="),
-                F.col("p_value").cast("string"),
-                F.lit(f", alpha={alpha})"),
+                change,
+                F.lit(" since the run before: p = "),
+                F.format_number("p_value", 4),
+                F.lit(f" at level {alpha}"),
             ),
         ),
     )

@@ -7,10 +7,12 @@ as vectors for the estimators.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
+    IDF,
     CountVectorizerModel,
     ElementwiseProduct,
+    HashingTF,
     Normalizer,
     RegexTokenizer,
     StopWordsRemover,
@@ -20,12 +22,11 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import BROADCAST_ROWS, VOCAB_SIZE
 from ..functions import text as X
 from ..functions.arrays import term_frequencies
 from ..session import scratch_path, staged
 from .joins import lookup_join
-from .ranking import number_table
+from .ranking import number_rows
 
 # The English stop words Spark ML removes by default.
 ENGLISH_STOP_WORDS = tuple(
@@ -78,15 +79,15 @@ def term_table(df: DataFrame, tokens: Column) -> DataFrame:
 def build_vocabulary(
     df: DataFrame,
     tokens: Column,
-    vocab_size: int | None = VOCAB_SIZE,
+    vocab_size: int | None = None,
     min_df: int = 1,
     max_df: float = 1.0,
     n_docs: int | None = None,
 ) -> DataFrame:
     """``term_id, term, cnt, df`` ordered by count, then term.
 
-    The order is total, so the terms at the cut and their ids do not depend on
-    partitioning. ``vocab_size=None`` keeps every term.
+    Every term is kept unless the caller sets ``vocab_size``. The order is total, so
+    the terms at such a cut and their ids do not depend on partitioning.
     """
     terms = term_table(df, tokens)
     if min_df > 1:
@@ -94,9 +95,7 @@ def build_vocabulary(
     if max_df < 1.0:
         limit = max_df * (df.count() if n_docs is None else n_docs)
         terms = terms.where(F.col("df") <= F.lit(limit))
-    ranked = number_table(
-        staged(terms, "terms"), F.desc("cnt"), F.asc("term"), name="term_id"
-    )
+    ranked = number_rows(terms, F.desc("cnt"), F.asc("term"), name="term_id")
     if vocab_size is not None:
         ranked = ranked.where(F.col("term_id") <= vocab_size)
     return ranked.withColumn("term_id", F.col("term_id") - 1)
@@ -174,20 +173,13 @@ def tfidf_l2_all(df: DataFrame, text: str, key: str = "id", **kwargs) -> DataFra
     )
 
 
-def counter_model(
-    vocabulary: DataFrame, tokens: str, output: str, limit: int = BROADCAST_ROWS
-) -> CountVectorizerModel:
+def counter_model(vocabulary: DataFrame, tokens: str, output: str) -> CountVectorizerModel:
     """Count vectoriser over a stored vocabulary, index = ``term_id``.
 
     The terms are written into a saved model as data, so they do not pass
-    through Python one by one. Refuses more than ``limit`` terms, which would
-    not fit a vector model.
+    through Python one by one. A vector model holds its whole vocabulary on every
+    node; where that does not fit, choose hashed dimensions or the long form.
     """
-    if vocabulary.count() > limit:
-        raise ValueError(
-            f"more than {limit} terms do not fit a vector model; "
-            "set vocab_size or use the long form"
-        )
     path = scratch_path(vocabulary.sparkSession, "counter-model")
     CountVectorizerModel.from_vocabulary(
         ["-"], inputCol=tokens, outputCol=output
@@ -208,15 +200,30 @@ def weight_vector(vocabulary: DataFrame, weight: Column) -> DenseVector:
 def fit_vectorizer(
     df: DataFrame,
     text: str,
-    vocab_size: int | None = VOCAB_SIZE,
+    vocab_size: int | None = None,
     stop_words=ENGLISH_STOP_WORDS,
     output: str = "features",
+    hash_features: int | None = None,
 ) -> PipelineModel:
     """Tokenizer, stop words, counts over the ordered vocabulary, IDF weights.
 
     The vocabulary pass also counts the documents of each term, so the IDF needs
-    no second pass over the texts.
+    no second pass over the texts. With ``hash_features`` terms are hashed into so
+    many dimensions instead and no vocabulary is held; terms may then share one.
     """
+    if hash_features:
+        return Pipeline(
+            stages=[
+                Tokenizer(inputCol=text, outputCol="words"),
+                StopWordsRemover(
+                    inputCol="words", outputCol="filtered_words", stopWords=list(stop_words)
+                ),
+                HashingTF(
+                    inputCol="filtered_words", outputCol="raw_features", numFeatures=hash_features
+                ),
+                IDF(inputCol="raw_features", outputCol=output),
+            ]
+        ).fit(df)
     n = df.count()
     tokens = ticket_tokens(F.col(text), stop_words)
     vocab = staged(build_vocabulary(df, tokens, vocab_size), "vocabulary")

@@ -7,6 +7,7 @@ with their most frequent tag and lemma.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -37,9 +38,21 @@ def induce_lexicon(tagged: DataFrame) -> DataFrame:
 
 
 def compile_lexicon(lexicon: DataFrame) -> DataFrame:
-    """``form, lemma, lemma_tag``: the tag a lemma has as a word of its own."""
-    tags = lexicon.select(F.col("form").alias("lemma"), F.col("tag").alias("lemma_tag"))
-    return lexicon.select("form", "lemma").join(tags, "lemma", "left").select(
+    """``form, lemma, lemma_tag``, one row per form: the tag a lemma has as a word of
+    its own.
+
+    Of several entries of a form the one with the lower tag, then lemma, counts. A form
+    without a lemma is its own; entries without a form are left out.
+    """
+    entries = lexicon.where(F.col("form").isNotNull()).select(
+        "form", "tag", F.coalesce("lemma", "form").alias("lemma")
+    )
+    best = entries.groupBy("form").agg(
+        F.min(F.struct(F.col("tag").isNull().alias("untagged"), "tag", "lemma")).alias("best")
+    )
+    single = best.select("form", F.col("best.tag").alias("tag"), F.col("best.lemma").alias("lemma"))
+    tags = single.select(F.col("form").alias("lemma"), F.col("tag").alias("lemma_tag"))
+    return single.select("form", "lemma").join(tags, "lemma", "left").select(
         "form", "lemma", "lemma_tag"
     )
 
@@ -47,7 +60,6 @@ def compile_lexicon(lexicon: DataFrame) -> DataFrame:
 def lemmatize_and_tag(
     df: DataFrame,
     lexicon: DataFrame,
-    key: str = "id",
     column: str = "complaint_cleaned",
     lemmas: str = "complaint_lemmatized",
     nouns: str = "complaint_pos_filtered",
@@ -59,30 +71,33 @@ def lemmatize_and_tag(
 
     Unknown forms stay as they are and get ``unknown_tag``; a text without nouns
     gives ``''``. A lexicon measured to be small is broadcast and looked up where
-    the rows lie; a larger one is joined (``key`` must be unique then).
+    the rows lie; a larger one is joined. Rows need no key, and both ways give the
+    same rows.
     """
     compiled = staged(compile_lexicon(lexicon), "lexicon")
     if is_small(compiled, max_rows, max_bytes):
         return _by_broadcast(df, compiled, column, lemmas, nouns, unknown_tag)
-    return _by_join(
-        df, compiled, key, column, lemmas, nouns, unknown_tag, max_rows, max_bytes
-    )
+    return _by_join(df, compiled, column, lemmas, nouns, unknown_tag, max_rows, max_bytes)
 
 
 def _by_broadcast(df, compiled, column, lemmas, nouns, unknown_tag):
     table = compiled.select(
         "form", "lemma", (F.coalesce("lemma_tag", F.lit("")) == NOUN).alias("noun")
     ).toArrow()
-    shared = df.sparkSession.sparkContext.broadcast(table.combine_chunks())
+    shared = df.sparkSession.sparkContext.broadcast({"table": table.combine_chunks()})
     unknown_is_noun = unknown_tag == NOUN
 
     @F.arrow_udf("struct<lemmas: string, nouns: string>")
     def look_up(tokens: pa.Array) -> pa.Array:
         known = shared.value
-        forms = tokens.flatten()
-        at = pc.index_in(forms, value_set=known.column("form"))
-        lemma = pc.coalesce(pc.take(known.column("lemma"), at), forms)
-        noun = pc.fill_null(pc.take(known.column("noun"), at), unknown_is_noun)
+        if "index" not in known:  # built once per worker
+            known["index"] = pd.Index(known["table"].column("form").to_pandas())
+        coded = tokens.flatten().dictionary_encode()
+        forms = coded.dictionary.to_pandas()
+        found = known["index"].get_indexer(forms)
+        at = pa.array(found, mask=found < 0).take(coded.indices)
+        lemma = pc.coalesce(pc.take(known["table"].column("lemma"), at), coded.dictionary_decode())
+        noun = pc.fill_null(pc.take(known["table"].column("noun"), at), unknown_is_noun)
         lemma, noun = _flat(lemma), _flat(noun)
         cuts = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy())])
         before = np.concatenate([[0], np.cumsum(noun.to_numpy(zero_copy_only=False))])
@@ -105,34 +120,15 @@ def _flat(values) -> pa.Array:
     return values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
 
 
-def _by_join(
-    df, compiled, key, column, lemmas, nouns, unknown_tag, max_rows, max_bytes
-) -> DataFrame:
-    """One explode and one regroup serve both texts. The short rows are put in
-    place by key before they are exploded; the other columns travel with the
-    first token."""
-    rest = [c for c in df.columns if c != key]
-    tokens = (
-        df.select(
-            "*",
-            F.posexplode_outer(X.words(F.coalesce(F.col(column), F.lit("")))).alias(
-                "_pos", "form"
-            ),
-        )
-        .select(
-            key,
-            "_pos",
-            "form",
-            F.when(F.coalesce("_pos", F.lit(0)) == 0, F.struct(*rest)).alias("_row"),
-        )
-    )
-    joined = lookup_join(
-        tokens,
-        compiled,
-        "form",
-        max_rows=max_rows,
-        max_bytes=max_bytes,
+def _by_join(df, compiled, column, lemmas, nouns, unknown_tag, max_rows, max_bytes) -> DataFrame:
+    """One explode and one regroup serve both texts. Rows are numbered when they are
+    stored, so rows of one id, or of none, stay apart; the other columns come back by
+    that number."""
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "lexicon-rows")
+    tokens = rows.select(
+        "_row", F.posexplode(X.words(F.coalesce(F.col(column), F.lit("")))).alias("_pos", "form")
     )
+    joined = lookup_join(tokens, compiled, "form", max_rows=max_rows, max_bytes=max_bytes)
     known = F.col("lemma").isNotNull()
     tag = F.when(known, F.col("lemma_tag")).otherwise(F.lit(unknown_tag))
     part = F.struct(
@@ -140,18 +136,21 @@ def _by_join(
         F.coalesce("lemma", "form").alias("lemma"),
         (F.coalesce(tag, F.lit("")) == NOUN).alias("noun"),
     )
-    rows = joined.groupBy(key).agg(
-        F.array_sort(F.collect_list(part)).alias("_parts"),
-        F.first("_row", ignorenulls=True).alias("_row"),
-    )
+    grouped = joined.groupBy("_row").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     all_lemmas = F.transform("_parts", lambda p: p["lemma"])
     noun_lemmas = F.transform(
         F.filter("_parts", lambda p: p["noun"]), lambda p: p["lemma"]
     )
-    return rows.select(
-        *[F.col(key) if c == key else F.col("_row")[c].alias(c) for c in df.columns],
-        F.array_join(all_lemmas, " ").alias(lemmas),
-        F.array_join(noun_lemmas, " ").alias(nouns),
+    texts = grouped.select(
+        "_row",
+        F.array_join(all_lemmas, " ").alias("_lemmas"),
+        F.array_join(noun_lemmas, " ").alias("_nouns"),
+    )
+    # a text without a word has no tokens to come back from
+    return rows.join(texts, "_row", "left").select(
+        *df.columns,
+        F.coalesce("_lemmas", F.lit("")).alias(lemmas),
+        F.coalesce("_nouns", F.lit("")).alias(nouns),
     )
 
 

@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-SMALL_ROWS = 1 << 20
-
 
 def number_rows(df: DataFrame, *order: Column, name: str = "row_id") -> DataFrame:
     """1-based position of every row in the total order ``order``.
 
-    Rows are range-partitioned and sorted once; each partition numbers its own
-    rows while it is written, and the partition offsets (one row per partition)
-    are joined back. The order columns must identify a row.
+    The input is stored first, as finding the ranges reads it once more. Rows are
+    range-partitioned and sorted once; each partition numbers its own rows while it
+    is written, and the partition offsets (one row per partition) are joined back.
+    The order columns must identify a row.
     """
     ordered = (
-        df.repartitionByRange(*order)
+        staged(df, "unranked")
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
@@ -38,16 +38,6 @@ def number_rows(df: DataFrame, *order: Column, name: str = "row_id") -> DataFram
     )
 
 
-def number_table(table: DataFrame, *order: Column, name: str = "row_id") -> DataFrame:
-    """:func:`number_rows` for a stored table; a small one needs no shuffle by range."""
-    if table.count() <= SMALL_ROWS:
-        return table.select(
-            F.row_number().over(Window.orderBy(*order)).cast("bigint").alias(name),
-            *table.columns,
-        )
-    return number_rows(table, *order, name=name)
-
-
 def top_per_group(df: DataFrame, group: str, *order: Column, n: int, name: str = "rank"):
     """First ``n`` rows of each group; every task keeps at most ``n`` per group
     before the shuffle, so a hot group costs no more than a cold one."""

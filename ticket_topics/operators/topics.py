@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +14,10 @@ from ..config import N_TOPICS, TOP_TERMS, TOPIC_SEED, TOPICS
 from ..functions.arrays import argmax
 from .ranking import top_per_group
 
-ROWS_PER_PARTITION = 20_000
+def fit_partitions(rows: int) -> int:
+    """Partitions of a fit, from the rows alone: few for few rows, and with more rows
+    both more partitions and larger ones."""
+    return max(1, math.ceil(math.sqrt(rows) / 8))
 
 
 def fit_lda(
@@ -27,14 +32,10 @@ def fit_lda(
     """Online LDA over rows in a fixed place and order.
 
     The mini-batches are drawn per partition, so the same rows in the same
-    ``partitions`` give the same model wherever they were read from. The default
-    number is that of the cores and grows with the rows; set it to repeat a fit
-    on a cluster of another size.
+    ``partitions`` give the same model wherever they were read from, on a cluster of
+    any size.
     """
-    n = partitions or max(
-        df.sparkSession.sparkContext.defaultParallelism,
-        -(-df.count() // ROWS_PER_PARTITION),
-    )
+    n = partitions or fit_partitions(df.count())
     placed = (
         df.select(key, features)
         .repartition(n, key)

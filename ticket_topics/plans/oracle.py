@@ -9,14 +9,15 @@ from ..config import (
     BOOTSTRAP_FRACTION,
     BOOTSTRAP_REPLICATES,
     BOOTSTRAP_SEED,
+    N_TOPICS,
     SPLIT_SEED,
     TOPICS,
-    VOCAB_SIZE,
 )
 from ..operators.features import ENGLISH_STOP_WORDS
+from ..operators.quality import ISO_TIMESTAMP, WITHOUT_SECONDS
 from ..schema import DATE_FIELDS, REQUIRED_FIELDS, SOURCE_FIELDS
 from .queries import ALERT_RATE, METRICS, TOP_TERMS
-from .standins import EVENT_TYPES, FUNCTION_WORDS, LANGS
+from .standins import COPY_ID, EVENT_TYPES, EXPORT_NAME, FAULTY_DATES, FUNCTION_WORDS, LANGS
 
 ORACLE: dict[str, str] = {}
 
@@ -80,33 +81,38 @@ def pairs_words(c: str) -> str:
 # --- raw complaints ----------------------------------------------------------
 
 _DAY = "lpad(CAST(d.n_chars % 28 + 1 AS VARCHAR), 2, '0')"
-_DATE = f"CASE WHEN d.lang = 'es' THEN {_DAY} || '/02/2024' ELSE '2024-02-' || {_DAY} || 'T12:00:00-05:00' END"
-_ID = "CASE WHEN d.lang = 'de' AND l.quality IS NULL THEN 'doc-' || d.doc_id ELSE CAST(d.doc_id AS VARCHAR) END"
+_FORMS = "[" + literals(FAULTY_DATES) + "]"
+_DATE = f"CASE WHEN d.copy = 1 THEN {_FORMS}[d.doc_id % {len(FAULTY_DATES)} + 1] WHEN d.lang = 'es' THEN {_DAY} || '/02/2024' ELSE '2024-02-' || {_DAY} || 'T12:00:00-05:00' END"
+_NUMBER = f"(d.doc_id + d.copy * {COPY_ID})"
+_ID = f"CASE WHEN d.lang = 'de' AND d.quality IS NULL THEN 'doc-' || {_NUMBER} ELSE CAST({_NUMBER} AS VARCHAR) END"
 _VALUES = {
     "tags": "CASE WHEN d.lang = 'fr' THEN 'Older American' END",
-    "zip_code": "CASE WHEN l.quality IS NOT NULL THEN CASE WHEN length(CAST(d.doc_id AS VARCHAR)) > 5 THEN left(CAST(d.doc_id AS VARCHAR), 5) ELSE lpad(CAST(d.doc_id AS VARCHAR), 5, '0') END END",
+    "zip_code": "CASE WHEN d.quality IS NOT NULL THEN CASE WHEN length(CAST(d.doc_id AS VARCHAR)) > 5 THEN left(CAST(d.doc_id AS VARCHAR), 5) ELSE lpad(CAST(d.doc_id AS VARCHAR), 5, '0') END END",
     "complaint_id": _ID,
     "issue": "d.lang || ' / ' || d.source",
     "date_received": _DATE,
-    "state": "CASE WHEN l.toxic = 1 THEN upper(d.source) ELSE upper(d.lang) END",
+    "state": "CASE WHEN d.toxic = 1 THEN upper(d.source) ELSE upper(d.lang) END",
     "consumer_disputed": "'N/A'",
     "product": "d.source",
-    "company_response": "CASE WHEN l.quality IS NULL OR NOT (l.quality = 0 AND l.toxic = 1) THEN 'Closed with explanation' END",
+    "company_response": "CASE WHEN d.quality IS NULL OR NOT (d.quality = 0 AND d.toxic = 1) THEN 'Closed with explanation' END",
     "company": "'Bank ' || d.source",
     "submitted_via": "'Web'",
     "date_sent_to_company": _DATE,
     "sub_product": "d.lang",
-    "timely": "CASE WHEN l.quality = 0 THEN 'No' WHEN l.quality IS NULL AND d.source = 'src7' THEN 'Maybe' ELSE 'Yes' END",
-    TEXT: "CASE WHEN l.toxic = 1 THEN '' WHEN l.quality = 0 THEN NULL ELSE d.text END",
-    "consumer_consent_provided": "CASE WHEN l.toxic = 1 THEN 'Consent not provided' ELSE 'Consent provided' END",
+    "timely": "CASE WHEN d.quality = 0 THEN 'No' WHEN d.quality IS NULL AND d.source = 'src7' THEN 'Maybe' ELSE 'Yes' END",
+    TEXT: "CASE WHEN d.copy = 0 THEN d.text WHEN d.toxic = 1 THEN '' END",
+    "consumer_consent_provided": "CASE WHEN d.toxic = 1 THEN 'Consent not provided' ELSE 'Consent provided' END",
 }
 _FIELDS = ", ".join(
     f"{_VALUES.get(f, 'CAST(NULL AS VARCHAR)')} AS {f}" for f in SOURCE_FIELDS
 )
 FLAT = (
-    f"flat AS (SELECT {_ID} AS id, 'complaint-public-v2' AS index, "
-    "CAST(coalesce(l.quality, 0) AS DOUBLE) AS score, 'complaint' AS type, "
-    f"{_FIELDS} FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
+    "labelled AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id), "
+    "copies AS (SELECT *, 0 AS copy FROM labelled UNION ALL "
+    "SELECT *, 1 AS copy FROM labelled WHERE toxic = 1 OR quality = 0), "
+    f"flat AS (SELECT {_ID} AS id, '{EXPORT_NAME}' AS index, "
+    "CAST(coalesce(d.quality, 0) AS DOUBLE) AS score, 'complaint' AS type, "
+    f"{_FIELDS} FROM copies d)"
 )
 PRESENT = f"present AS (SELECT * FROM flat WHERE {TEXT} IS NOT NULL AND {TEXT} <> '')"
 FLAT_COLUMNS = ", ".join(("id", "index", "score", "type", *SOURCE_FIELDS))
@@ -207,7 +213,7 @@ for key, tokens in (("tokenize_ws", ws_tokens), ("remove_stopwords", ticket_toke
     )
 
 
-def vocabulary_ctes(tokens: str, min_df: int = 1, max_df: float = 1.0, size: int | None = VOCAB_SIZE):
+def vocabulary_ctes(tokens: str, min_df: int = 1, max_df: float = 1.0, size: int | None = None):
     limit = "" if size is None else f"QUALIFY term_id < {size}"
     return [
         f"words AS (SELECT id, lang, unnest({tokens}) AS term FROM cleaned_text)",
@@ -255,7 +261,7 @@ def unit_tfidf(tokens: str, min_df: int, max_df: float) -> str:
     return with_(
         [
             "cleaned_text AS (SELECT doc_id AS id, lang, text FROM documents)",
-            *vocabulary_ctes(tokens, min_df, max_df, None),
+            *vocabulary_ctes(tokens, min_df, max_df),
             f"weighted AS (SELECT c.id, c.term, c.tf, c.tf * ({IDF} + 1) AS w "
             "FROM counts c JOIN vocabulary v ON c.term = v.term)",
         ],
@@ -463,8 +469,19 @@ _DOMAIN = [
     "CASE WHEN length(state) > 2 THEN 'state_too_long' END",
     "CASE WHEN timely NOT IN ('Yes', 'No') THEN 'timely_invalid' END",
 ]
+
+
+def stamp(c: str) -> str:
+    """A timestamp of the full ISO form; without an offset it is UTC."""
+    return (
+        f"TRY_CAST(CASE WHEN regexp_matches({c}, '{ISO_TIMESTAMP}') THEN "
+        rf"regexp_replace({c}, '{WITHOUT_SECONDS}', '\1:00\2') || "
+        f"CASE WHEN regexp_matches({c}, '(Z|[+-][0-9]{{2}}:[0-9]{{2}})$') THEN '' ELSE 'Z' END END AS TIMESTAMPTZ)"
+    )
+
+
 _TIMES = [
-    f"CASE WHEN {f} IS NOT NULL AND TRY_CAST({f} AS TIMESTAMPTZ) IS NULL THEN '{f}_invalid' END"
+    f"CASE WHEN {f} IS NOT NULL AND {stamp(f)} IS NULL THEN '{f}_invalid' END"
     for f in DATE_FIELDS
 ]
 _IDS = ["CASE WHEN id IS NOT NULL AND TRY_CAST(id AS BIGINT) IS NULL THEN 'id_not_numeric' END"]
@@ -472,7 +489,7 @@ ORACLE["dq_required"] = with_([FLAT], f"SELECT id, {joined(_MISSING)} AS errors
 ORACLE["dq_domain"] = with_([FLAT], f"SELECT id, {joined(_DOMAIN)} AS errors FROM flat")
 ORACLE["dq_timestamp"] = with_(
     [FLAT],
-    "SELECT id, CAST(epoch(TRY_CAST(date_received AS TIMESTAMPTZ)) AS BIGINT) AS received_epoch, "
+    f"SELECT id, CAST(epoch({stamp('date_received')}) AS BIGINT) AS received_epoch, "
     f"{joined(_TIMES)} AS errors FROM flat",
 )
 ORACLE["dq_numeric_id"] = with_([FLAT], "SELECT id, TRY_CAST(id AS BIGINT) AS numeric_id FROM flat")
@@ -489,7 +506,9 @@ _METRIC = "trim(regexp_replace(lower(topic_name), '[^a-z0-9]+', '_', 'g'), '_')"
 for key in ("topic_counters", "topic_counters_stream"):
     ORACLE[key] = with_(
         [EVENTS, DIM, "seen AS (SELECT topic, count(*) AS n FROM ev GROUP BY topic)"],
-        f"SELECT dim.topic, {_METRIC} AS metric_name, coalesce(n, 0) AS n FROM dim LEFT JOIN seen ON dim.topic = seen.topic",
+        f"SELECT dim.topic, {_METRIC} AS metric_name, coalesce(n, 0) AS n FROM dim LEFT JOIN seen ON dim.topic = seen.topic "
+        "UNION ALL SELECT -1, 'unlisted', CAST(coalesce(sum(n), 0) AS BIGINT) FROM seen "
+        "WHERE topic IS NULL OR topic NOT IN (SELECT topic FROM dim)",
     )
 RATES = [
     EVENTS,
@@ -505,3 +524,95 @@ ORACLE["topic_rate_alerts"] = with_(RATES, f"{_RATE} WHERE rate > {ALERT_RATE}")
 ORACLE["topic_rate_stream"] = with_(
     RATES, f"{_RATE} WHERE start + 300 <= (SELECT max(epoch_ms(ts)) FROM ev) / 1000.0 - 600"
 )
+
+
+# --- what must hold of fits and of what depends on them -----------------------
+
+HAS_TERMS = "id IN (SELECT id FROM counts)"
+_TERMS = (
+    "SELECT CAST(topic AS INTEGER) AS topic, {n} AS n_terms, {n} AS n_ranks, {n} AS n_known, "
+    "true AS no_negative, true AS falling{more} FROM range({k}) t(topic)"
+)
+
+
+def terms_check(more: str = "") -> str:
+    return _TERMS.format(n=TOP_TERMS, k=N_TOPICS, more=more)
+
+
+ORACLE["lemmatize_joined"] = with_(
+    _LEMMAS, "SELECT id, complaint_lemmatized, complaint_pos_filtered FROM stages"
+)
+ORACLE["tfidf_joined"] = ORACLE["tfidf"]
+ORACLE["tfidf_l2_joined"] = ORACLE["tfidf_l2"]
+ORACLE["lda_fit_check"] = with_(
+    TICKET_VOCAB,
+    f"SELECT count(*) AS n_docs, round(CAST(count(*) FILTER ({HAS_TERMS}) AS DOUBLE), 2) AS mass, "
+    f"{N_TOPICS} AS n_topics, true AS no_negative FROM cleaned",
+)
+ORACLE["lda_mixture_check"] = with_(
+    TICKET_VOCAB,
+    f"SELECT id, {HAS_TERMS} AS has_terms, CAST(CASE WHEN {HAS_TERMS} THEN 1 ELSE 0 END AS DOUBLE) AS mass, "
+    "true AS is_argmax, true AS in_range FROM cleaned",
+)
+ORACLE["topic_terms_check"] = terms_check()
+ORACLE["nmf_fit_check"] = terms_check(", true AS loss_falls, true AS converged")
+ORACLE["nmf_transform_check"] = with_(
+    [
+        "cleaned_text AS (SELECT doc_id AS id, lang, text FROM documents)",
+        *vocabulary_ctes(f"list_filter({pairs_words('text')}, lambda w: w NOT IN ({STOPS}))", 2, 0.95),
+        "known AS (SELECT DISTINCT id FROM counts WHERE term IN (SELECT term FROM vocabulary))",
+    ],
+    "SELECT doc_id AS id, doc_id IN (SELECT id FROM known) AS has_terms, true AS in_range FROM documents",
+)
+ORACLE["random_split_check"] = "SELECT doc_id AS id, 1 AS n_parts FROM documents"
+for key in ("label_check", "model_reload_check"):
+    ORACLE[key] = "SELECT doc_id AS id, true AS equal FROM documents"
+
+
+def split_check(percent: int) -> str:
+    return (
+        f"WITH r AS (SELECT {split_of('doc_id', percent)} AS split, lang FROM documents), "
+        "c AS (SELECT split, lang, count(*) AS n FROM r GROUP BY ALL) "
+        "SELECT split, CAST(sum(n) AS BIGINT) AS n_rows, round(max(n) / sum(n), 6) AS majority, "
+        "true AS better FROM c GROUP BY split"
+    )
+
+
+ORACLE["lr_fit_check"] = split_check(80)
+ORACLE["lr_ovr_fit_check"] = split_check(75)
+ORACLE["train_and_evaluate_check"] = (
+    f"SELECT DISTINCT {split_of('doc_id', 80)} AS split, true AS in_range, true AS equal FROM documents"
+)
+ORACLE["score_labelled_check"] = (
+    f"SELECT doc_id AS id, {case_index('lang', LANGS)} AS label, {split_of('doc_id', 80)} AS split, "
+    "true AS in_range FROM documents"
+)
+ORACLE["score_batch_check"] = with_(
+    [FLAT], f"SELECT id, coalesce({TEXT}, '') AS {TEXT}, true AS in_range FROM flat"
+)
+_JUDGED = [FLAT, f"judged AS (SELECT *, {joined(_MISSING + _DOMAIN + _TIMES + _IDS)} AS errors FROM flat)"]
+_ANSWERED = f"CAST(id AS BIGINT) AS complaint_id, coalesce({TEXT}, '') AS complaint_text"
+ORACLE["service_predictions_check"] = with_(
+    _JUDGED, f"SELECT {_ANSWERED}, true AS in_range FROM judged WHERE errors = ''"
+)
+ORACLE["service_stream_check"] = with_(
+    _JUDGED, f"SELECT {_ANSWERED}, true AS equal FROM judged WHERE errors = ''"
+)
+ORACLE["service_refused"] = with_(_JUDGED, "SELECT id, errors FROM judged WHERE errors <> ''")
+ORACLE["service_counters"] = with_(
+    _JUDGED,
+    f"SELECT count(*) AS n_answers, {len(TOPICS) + 1} AS n_counters, 0 AS n_unlisted FROM judged WHERE errors = ''",
+)
+ORACLE["service_rates"] = with_(
+    [
+        *_JUDGED,
+        f"secs AS (SELECT CAST(epoch({stamp('date_received')}) AS BIGINT) AS s FROM judged "
+        "WHERE errors = '' AND date_received IS NOT NULL)",
+        "wins AS (SELECT s - s % 60 - 60 * unnest(range(0, 5)) AS start FROM secs)",
+    ],
+    "SELECT strftime(make_timestamp(start * 1000000), '%Y-%m-%d %H:%M:%S') AS window_start, "
+    "count(*) AS n FROM wins GROUP BY start",
+)
+ORACLE["score_stream_check"] = (
+    f"SELECT conv_id, turn, coalesce(text, '') AS {TEXT}, true AS equal FROM conversations"
+)

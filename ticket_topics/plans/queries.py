@@ -24,7 +24,7 @@ from ..operators import (
 from ..operators.records import TEXT
 from ..session import scratch_path, staged
 from ..sources import complaints, models, runs, stages
-from ..sources.tables import read_table, spread
+from ..sources.tables import read_table
 from ..streaming import ingest, scoring
 from ..streaming import monitor as stream_monitor
 from . import jobs
@@ -80,7 +80,7 @@ def csv_roundtrip(spark, folder):
     path = scratch_path(spark, "csv")
     flat = records.flatten_complaints(S.raw_complaints(spark, folder))
     stages.write_csv(flat, path)
-    return records.fill_null_text(stages.read_csv(spark, path, flat.schema))
+    return records.fill_null_text(stages.read_csv(spark, path, flat.schema, multi_line=True))
 
 
 @query
@@ -259,11 +259,11 @@ def induce_lexicon(spark, folder):
     return lexicon.induce_lexicon(S.tagged_tokens(spark, folder))
 
 
-def _tagged_documents(spark, folder):
+def _tagged_documents(spark, folder, **bounds):
     docs = S.documents(spark, folder).select(
         "id", X.clean_text(F.col("text")).alias("complaint_cleaned")
     )
-    return lexicon.lemmatize_and_tag(docs, _lexicon(spark, folder))
+    return lexicon.lemmatize_and_tag(docs, _lexicon(spark, folder), **bounds)
 
 
 @query
@@ -276,10 +276,16 @@ def keep_nouns(spark, folder):
     return _tagged_documents(spark, folder).select("id", "complaint_pos_filtered")
 
 
+@query
+def lemmatize_joined(spark, folder):
+    """Both texts by the way of lexicons too large to broadcast."""
+    rows = _tagged_documents(spark, folder, max_rows=0)
+    return rows.select("id", "complaint_lemmatized", "complaint_pos_filtered")
+
+
 @query
 def preprocess(spark, folder):
-    raw = spread(S.raw_complaints(spark, folder), "_id")
-    rows = lexicon.preprocess(raw, _lexicon(spark, folder))
+    rows = lexicon.preprocess(S.raw_complaints(spark, folder), _lexicon(spark, folder))
     return rows.select(
         "id",
         "product",
@@ -348,6 +354,25 @@ def term_counts(spark, folder):
     ).select("conv_id", "turn", "term", "tf")
 
 
+@query
+def tfidf_joined(spark, folder):
+    """The weights by the way of vocabularies too large to broadcast."""
+    rows = features.tfidf(
+        _cleaned(spark, folder),
+        features.ticket_tokens(F.col(FINAL)),
+        _vocabulary(spark, folder),
+        _n_docs(spark, folder),
+        max_rows=0,
+    )
+    return rows.withColumn("weight", r6("weight"))
+
+
+@query
+def tfidf_l2_joined(spark, folder):
+    rows = features.tfidf_l2(S.documents(spark, folder), "text", max_rows=0)
+    return rows.select("id", "term", "tf", r6("weight").alias("weight"))
+
+
 @query
 def idf_weights(spark, folder):
     weights = features.idf_weights(_vocabulary(spark, folder), _n_docs(spark, folder))
@@ -458,6 +483,18 @@ def lda_fit(spark, folder):
     return sums.select(F.col("t").alias("topic"), "n_docs", r6("mass").alias("mass"))
 
 
+@query
+def lda_fit_check(spark, folder):
+    """What must hold of any fit: every document in one topic, mass as counted."""
+    rows = lda_fit(spark, folder)
+    return rows.agg(
+        F.sum("n_docs").alias("n_docs"),
+        F.round(F.sum("mass"), 2).alias("mass"),
+        F.count(F.lit(1)).alias("n_topics"),
+        (F.min("mass") >= 0).alias("no_negative"),
+    )
+
+
 @query
 def lda_mixture(spark, folder):
     rows = _lda_labels(spark, folder)
@@ -465,6 +502,53 @@ def lda_mixture(spark, folder):
     return rows.select("id", *parts, "topic", "has_terms")
 
 
+@query
+def lda_mixture_check(spark, folder):
+    """Per document: known terms, mixture mass, and the topic is the strongest one."""
+    rows = _lda_labels(spark, folder)
+    mix = F.col("topicDistribution")
+    mass = F.aggregate(mix, F.lit(0.0), lambda s, p: s + p)
+    return rows.select(
+        "id",
+        "has_terms",
+        F.round(mass, 6).alias("mass"),
+        (mix[F.col("topic")] == F.array_max(mix)).alias("is_argmax"),
+        F.col("topic").between(0, N_TOPICS - 1).alias("in_range"),
+    )
+
+
+@query
+def topic_terms_check(spark, folder):
+    """Per topic: ranks, falling weights, and terms of the vocabulary only."""
+    return _terms_check(topic_terms(spark, folder), _vocabulary(spark, folder))
+
+
+def _terms_check(ranked, vocabulary):
+    known = ranked.join(vocabulary.select("term", F.lit(True).alias("known")), "term", "left")
+    pairs = F.sort_array(F.collect_list(F.struct("rank", "weight")))
+    falls = F.zip_with(
+        F.slice("pairs", 1, TOP_TERMS - 1),
+        F.slice("pairs", 2, TOP_TERMS - 1),
+        lambda a, b: a["weight"] >= b["weight"],
+    )
+    grouped = known.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n_terms"),
+        F.countDistinct("rank").alias("n_ranks"),
+        F.count("known").alias("n_known"),
+        (F.min("weight") >= 0).alias("no_negative"),
+        pairs.alias("pairs"),
+    )
+    return grouped.select(
+        "topic", "n_terms", "n_ranks", "n_known", "no_negative",
+        F.forall(falls, lambda f: f).alias("falling"),
+    )
+
+
+@query
+def label_check(spark, folder):
+    return label_after_relabel(spark, folder).select("id", "equal")
+
+
 @query
 def topic_terms(spark, folder):
     path = scratch_path(spark, "counter")
@@ -534,12 +618,27 @@ def nmf_fit(spark, folder):
 
 
 @query
-def nmf_transform(spark, folder):
-    scored = nmf.nmf_transform(
-        _nmf_documents(spark, folder),
-        _nmf_vocabulary(spark, folder),
-        _nmf(spark, folder).factor,
+def nmf_fit_check(spark, folder):
+    """Per topic what must hold of its terms, and that the loss never rose."""
+    fitted = _nmf(spark, folder)
+    falls = all(b <= a + 1e-9 for a, b in zip(fitted.losses, fitted.losses[1:]))
+    rows = _terms_check(nmf_fit(spark, folder), _nmf_vocabulary(spark, folder))
+    return rows.select(
+        "*", F.lit(falls).alias("loss_falls"), F.lit(fitted.converged).alias("converged")
+    )
+
+
+@query
+def nmf_transform_check(spark, folder):
+    rows = nmf_transform(spark, folder)
+    return rows.select(
+        "id", "has_terms", F.col("topic").between(0, N_TOPICS - 1).alias("in_range")
     )
+
+
+@query
+def nmf_transform(spark, folder):
+    scored = nmf.nmf_transform(_nmf_documents(spark, folder), _nmf(spark, folder).factor)
     return nmf.label_documents(S.documents(spark, folder).select("id", "lang"), scored)
 
 
@@ -619,6 +718,13 @@ def random_split(spark, folder):
     )
 
 
+@query
+def random_split_check(spark, folder):
+    """Every row is in exactly one part."""
+    rows = random_split(spark, folder)
+    return rows.groupBy("id").agg(F.count(F.lit(1)).alias("n_parts"))
+
+
 @query
 def bootstrap_weights(spark, folder):
     ids = read_table(spark, folder, "events").select(F.col("event_id").alias("id"))
@@ -649,6 +755,143 @@ def lr_ovr_fit(spark, folder):
     return trained.scores().withColumn("accuracy", r6("accuracy"))
 
 
+def _accuracy_check(spark, folder, scores, percent):
+    rows = splits.hash_split(S.training_rows(spark, folder), train_percent=percent)
+    shares = (
+        rows.groupBy("split", "topic")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("split")
+        .agg((F.max("n") / F.sum("n")).alias("majority"))
+    )
+    return scores.join(shares, "split").select(
+        "split",
+        "n_rows",
+        r6("majority").alias("majority"),
+        (F.col("accuracy") > F.col("majority")).alias("better"),
+    )
+
+
+@query
+def lr_fit_check(spark, folder):
+    return _accuracy_check(spark, folder, _classifier(spark, folder).scores(), 80)
+
+
+@query
+def lr_ovr_fit_check(spark, folder):
+    return _accuracy_check(spark, folder, lr_ovr_fit(spark, folder), 75)
+
+
+@query
+def train_and_evaluate_check(spark, folder):
+    rows = train_and_evaluate(spark, folder)
+    in_range = [F.col(m).between(0, 1) for m in METRICS]
+    every = in_range[0] & in_range[1] & in_range[2] & in_range[3]
+    return rows.select(
+        "split", every.alias("in_range"), (F.col("accuracy") == F.col("recall")).alias("equal")
+    )
+
+
+@query
+def score_labelled_check(spark, folder):
+    rows = score_labelled(spark, folder)
+    return rows.select("id", "label", "split", _class_in_range())
+
+
+def _class_in_range():
+    whole = F.col("prediction") == F.floor("prediction")
+    return (F.col("prediction").between(0, len(S.LANGS) - 1) & whole).alias("in_range")
+
+
+@query
+def score_batch_check(spark, folder):
+    return score_batch(spark, folder).select("id", TEXT, _class_in_range())
+
+
+@query
+def service_predictions_check(spark, folder):
+    rows = service_predictions(spark, folder)
+    return rows.select("complaint_id", "complaint_text", _class_in_range())
+
+
+@query
+def score_stream_check(spark, folder):
+    """The stream's prediction of every turn is the batch's."""
+    model = _classifier(spark, folder).model
+    texts = read_table(spark, folder, "conversations").select(
+        "conv_id", "turn", F.col("text").alias(TEXT)
+    )
+    batch = classify.score_texts(model, texts, "conv_id", "turn")
+    once = batch.groupBy("conv_id", "turn").agg(F.first("prediction").alias("batch"))
+    stream = score_stream(spark, folder)
+    return stream.join(once, ["conv_id", "turn"]).select(
+        "conv_id", "turn", TEXT, (F.col("prediction") == F.col("batch")).alias("equal")
+    )
+
+
+@query
+def model_reload_check(spark, folder):
+    return model_reload(spark, folder).select("id", "equal")
+
+
+def _service(spark, folder) -> scoring.ScoringService:
+    """The scorer over service records that arrive as files."""
+    arriving = scratch_path(spark, "arriving")
+    records_ = S.service_records(spark, folder)
+    records_.write.parquet(arriving)
+    stream = ingest.file_stream(spark, arriving, records_.schema, "parquet", max_files=1)
+    service = scoring.ScoringService(
+        _classifier(spark, folder).model,
+        scratch_path(spark, "service"),
+        scratch_path(spark, "service-checkpoint"),
+    )
+    service.run(stream)
+    return service
+
+
+@query
+def service_stream(spark, folder):
+    return _service(spark, folder).answers()
+
+
+@query
+def service_stream_check(spark, folder):
+    """Answers of the stream against those of the batch, per record."""
+    answers = _service(spark, folder).answers()
+    batch = service_predictions(spark, folder).select(
+        "complaint_id", F.col("prediction").alias("batch")
+    )
+    return answers.join(batch, "complaint_id", "left").select(
+        "complaint_id", "complaint_text", (F.col("prediction") == F.col("batch")).alias("equal")
+    )
+
+
+@query
+def service_refused(spark, folder):
+    """Records the stream refused, with every rule they break."""
+    refused = _service(spark, folder).refused()
+    return refused.select("id", F.array_join("errors", ",").alias("errors"))
+
+
+@query
+def service_counters(spark, folder):
+    """Answers counted by the stream; their sum is what was answered."""
+    rows = _service(spark, folder).counters()
+    return rows.agg(
+        F.sum("n").alias("n_answers"),
+        F.count(F.lit(1)).alias("n_counters"),
+        F.sum(F.when(F.col("topic") < 0, F.col("n"))).alias("n_unlisted"),
+    )
+
+
+@query
+def service_rates(spark, folder):
+    """Windows of the answers' rates: every answer is in five of them."""
+    rates = _service(spark, folder).rates()
+    return rates.groupBy(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start")
+    ).agg(F.sum("n").alias("n"))
+
+
 @query
 def train_and_evaluate(spark, folder):
     matrix = evaluate.confusion(_classifier(spark, folder).scored, by=("split",))
@@ -681,9 +924,7 @@ def service_predictions(spark, folder):
 def score_stream(spark, folder):
     schema = read_table(spark, folder, "conversations").schema
     stream = ingest.file_stream(spark, folder, schema, "parquet", "conversations.parquet")
-    texts = stream.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias(TEXT)
-    )
+    texts = stream.select("conv_id", "turn", F.col("text").alias(TEXT))
     return scoring.score_stream(
         _classifier(spark, folder).model,
         texts,
@@ -849,7 +1090,9 @@ def _event_stream(spark, folder):
 @query
 def topic_counters_stream(spark, folder):
     return stream_monitor.stream_counters(
-        _event_stream(spark, folder), scratch_path(spark, "counter-checkpoint")
+        _event_stream(spark, folder),
+        scratch_path(spark, "topic-counts"),
+        scratch_path(spark, "counter-checkpoint"),
     )
 
 

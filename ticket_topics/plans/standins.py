@@ -14,6 +14,8 @@ from ..schema import SOURCE_FIELDS
 from ..sources.tables import read_table, spread
 
 LANGS = ("de", "en", "es", "fr")
+EXPORT_NAME = "ticket-export"
+COPY_ID = 10_000_000_000
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 # Function words by which a language is guessed, in the order of LANGS.
@@ -27,26 +29,39 @@ FUNCTION_WORDS = (
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """``id, text, lang, source``"""
-    docs = read_table(spark, folder, "documents")
-    return spread(
-        docs.select(F.col("doc_id").alias("id"), "text", "lang", "source"), "id"
-    )
+    docs = spread(read_table(spark, folder, "documents"), "doc_id")
+    return docs.select(F.col("doc_id").alias("id"), "text", "lang", "source")
+
+
+FAULTY_DATES = (
+    "12:30:00", "T12:30", "2019", "2019-4-3", "2024-02-10T12:00:00", "2024-02-11 09:15", "10/02/2024",
+)
 
 
 def raw_complaints(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested raw complaints from documents and their labels, with the gaps and
-    faults of real records: withheld and missing texts, ids that are no numbers,
-    long states, unknown answers, dates in another format."""
+    """Nested raw complaints: every document with its whole text, and for each document
+    labelled toxic or of low quality a second, faulty complaint (``copy`` 1) whose text
+    is blank or missing and whose dates have another form. Ids that are no numbers, long
+    states and unknown answers occur in both."""
     labels = read_table(spark, folder, "labels")
-    d = read_table(spark, folder, "documents").join(labels, "doc_id", "left")
+    docs = spread(read_table(spark, folder, "documents"), "doc_id")
+    labelled = docs.join(labels, "doc_id", "left")
+    bad = (F.col("toxic") == 1) | (F.col("quality") == 0)
+    copies = F.when(bad, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    d = labelled.withColumn("copy", F.explode(copies))
     doc_id, quality = F.col("doc_id"), F.col("quality")
     toxic, lang, source = F.col("toxic"), F.col("lang"), F.col("source")
+    faulty = F.col("copy") == 1
+    number = F.when(faulty, doc_id + COPY_ID).otherwise(doc_id).cast("string")
     ident = F.when(
-        (lang == "de") & quality.isNull(), F.concat(F.lit("doc-"), doc_id.cast("string"))
-    ).otherwise(doc_id.cast("string"))
+        (lang == "de") & quality.isNull(), F.concat(F.lit("doc-"), number)
+    ).otherwise(number)
     day = F.lpad((F.col("n_chars") % 28 + 1).cast("string"), 2, "0")
-    date = F.when(lang == "es", F.concat(day, F.lit("/02/2024"))).otherwise(
-        F.concat(F.lit("2024-02-"), day, F.lit("T12:00:00-05:00"))
+    forms = F.array(*[F.lit(v) for v in FAULTY_DATES])
+    date = (
+        F.when(faulty, F.element_at(forms, (doc_id % len(FAULTY_DATES) + 1).cast("int")))
+        .when(lang == "es", F.concat(day, F.lit("/02/2024")))
+        .otherwise(F.concat(F.lit("2024-02-"), day, F.lit("T12:00:00-05:00")))
     )
     values = {
         "tags": F.when(lang == "fr", F.lit("Older American")),
@@ -68,14 +83,14 @@ def raw_complaints(spark: SparkSession, folder: str) -> DataFrame:
         "timely": F.when(quality == 0, "No")
         .when(quality.isNull() & (source == "src7"), "Maybe")
         .otherwise("Yes"),
-        TEXT: F.when(toxic == 1, "").when(quality == 0, None).otherwise(F.col("text")),
+        TEXT: F.when(~faulty, F.col("text")).when(toxic == 1, ""),
         "consumer_consent_provided": F.when(toxic == 1, "Consent not provided").otherwise(
             "Consent provided"
         ),
     }
     missing = F.lit(None).cast("string")
     return d.select(
-        F.lit("complaint-public-v2").alias("_index"),
+        F.lit(EXPORT_NAME).alias("_index"),
         F.lit("complaint").alias("_type"),
         ident.alias("_id"),
         F.coalesce(quality, F.lit(0)).cast("double").alias("_score"),

@@ -65,12 +65,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV whose texts may span lines; a blank text comes back as null."""
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV; a blank text comes back as null.
+
+    Texts that span lines need ``multi_line``; each file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .csv(path)
     )

@@ -9,10 +9,11 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for an input of fewer splits than cores.
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a stored table of fewer splits than cores.
 
-    A large input has more splits than cores and stays as it is.
+    A large table has more splits than cores and stays as it is. Give the bare scan:
+    its splits are known from the files, without running anything.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table

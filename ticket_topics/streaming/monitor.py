@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -12,25 +11,38 @@ from ..config import RATE_WINDOW_SECONDS, TOPICS, WATERMARK
 from ..operators.monitor import with_all_topics
 
 
-def stream_counters(predictions: DataFrame, checkpoint: str, topics=TOPICS) -> DataFrame:
-    """Counts per topic after all arrived files, zero for unseen topics.
+def count_batches(predictions: DataFrame, path: str, checkpoint: str) -> None:
+    """Count what has arrived per topic and batch into a table, and stop.
 
-    The complete result is one row per topic, which is why the memory sink may
-    hold it.
+    A batch writes a partition of its own and replaces it when it is tried again, so a
+    restart neither loses nor doubles counts.
     """
-    known = F.col("topic").isin([t for t, _ in topics])
-    counts = predictions.where(known).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
-    name = f"topic_counters_{uuid.uuid4().hex}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+        counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
     query = (
-        counts.writeStream.format("memory")
-        .queryName(name)
-        .outputMode("complete")
+        predictions.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return with_all_topics(predictions.sparkSession.table(name), topics)
+
+
+def stream_counters(
+    predictions: DataFrame, path: str, checkpoint: str, topics=TOPICS
+) -> DataFrame:
+    """``topic, metric_name, n`` after all files so far; unseen topics count 0.
+
+    ``path`` holds the counts of every batch and belongs to ``checkpoint``; a call
+    without new files finds the counts of those before.
+    """
+    count_batches(predictions, path, checkpoint)
+    spark = predictions.sparkSession
+    counts = spark.read.schema("topic int, n bigint").parquet(path)
+    return with_all_topics(counts.groupBy("topic").agg(F.sum("n").alias("n")), topics)
 
 
 def stream_rates(
