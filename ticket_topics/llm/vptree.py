@@ -280,7 +280,8 @@ def _answers(shard, block, k: int, factor: float) -> pa.RecordBatch:
     result = Search(
         tree, shard["unit"], shard["ids"], _unit(block["vectors"]), block["ids"], k, factor
     )
-    query, column = np.nonzero(result.place >= 0)
+    # with fewer candidates than k a place may hold none, or the query itself
+    query, column = np.nonzero(result.key > -np.inf)
     place = tree["order"][result.place[query, column]]
     score = cosine(block["vectors"][query], shard["vectors"][place])
     return pa.RecordBatch.from_arrays(
