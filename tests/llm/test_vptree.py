@@ -22,7 +22,7 @@ def brute(rows, every, k):
         if i % every:
             continue
         near = [(j, V.cosine(v[None], w[None])[0]) for j, w in usable if j != i and len(w) == len(v)]
-        near.sort(key=lambda n: (-round(n[1], 12), n[0]))
+        near.sort(key=lambda n: (-n[1], n[0]))
         out += [(i, r + 1, j, s) for r, (j, s) in enumerate(near[:k])]
     return sorted(out)
 

@@ -211,12 +211,14 @@ def alike(a: Sequence, b: Sequence, least: float = SIMILARITY) -> float:
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: set[bytes] = set()
+    seen: dict[bytes, int] = {}
     for batch in slices(batches, "words"):
         fresh = []
-        for i, digest in enumerate(batch.column("digest").to_pylist()):
-            if digest not in seen:  # a later copy in a task is never the first row
-                seen.add(digest)
+        rows = zip(*(batch.column(c).to_pylist() for c in ("digest", "row")), strict=True)
+        for i, (digest, row) in enumerate(rows):
+            # a text's node is its smallest row; files may come in any order
+            if seen.get(digest, row + 1) > row:
+                seen[digest] = row
                 fresh.append(i)
         if len(seen) > SEEN_DIGESTS:
             seen.clear()
