@@ -1,11 +1,11 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from ticket_topics.plans.queries import QUERIES
 
 from .oracle_check import compare, connect
 
 ORACLE = oracle_sql()
+QUERIES = queries()
 
 
 @pytest.fixture(scope="module")
