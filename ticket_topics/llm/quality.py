@@ -12,6 +12,7 @@ The sample is bounded: at most ``per_class`` texts of each label.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed_texts
 
-PER_CLASS = 1000
+PER_CLASS = 500
 NEIGHBOURS = 15
 RANK = 48
 FOLDS = 5  # the fold 0 of crc32(id) is held out
@@ -32,6 +33,7 @@ TRIGRAMS, SHAPES = 1 << TRIGRAM_BITS, 64
 TERMS = TRIGRAMS + SHAPES + (1 << PAIR_BITS)
 PART_BYTES = 1 << 20  # longer texts are counted part by part, cut at white space
 BLOCK_ROWS = 256
+HASHES = 1 << 40
 TIE = 1e-6
 
 MIX = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], dtype=np.uint32)
@@ -144,8 +146,10 @@ def fit_counts(counts: np.ndarray, labels: np.ndarray, neighbours: int, rank: in
     if not len(counts):
         return model
     bags = model.bags(counts)
-    _, _, axes = np.linalg.svd(bags, full_matrices=False)
-    projection = np.ascontiguousarray(axes[:rank].T)
+    # leading right singular vectors, by way of the texts x texts products
+    values, axes = np.linalg.eigh((bags @ bags.T).astype(np.float64))
+    lead = [a for a in np.argsort(values)[::-1][:rank] if values[a] > values[-1] * 1e-9]
+    projection = (bags.T @ axes[:, lead] / np.sqrt(values[lead])).astype(np.float32)
     return Model(weights, projection, _unit(bags @ projection), model.labels, neighbours)
 
 
@@ -176,9 +180,18 @@ def labelled_sample(
     )
     texts = keyed_texts(docs, id_col, text_col)
     known = learnt.join(texts.select("id"), "id", "left_semi")
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = known.withColumn("_place", F.row_number().over(first)).where(
-        F.col("_place") <= per_class
+    # the smallest hashes; a share of the hashes that holds four times as many goes first,
+    # so that what meets in one task does not grow with the table
+    place = F.pmod(F.xxhash64("id"), F.lit(HASHES))
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    limit = F.lit(HASHES)
+    for label, n in sizes.items():
+        limit = F.when(F.col("label") == label, min(HASHES, 4 * per_class * HASHES // n)).otherwise(limit)
+    first = Window.partitionBy("label").orderBy(place, "id")
+    chosen = (
+        known.where(place < limit)
+        .withColumn("_place", F.row_number().over(first))
+        .where(F.col("_place") <= per_class)
     )
     # at most two labels times per_class rows
     return (
@@ -199,12 +212,15 @@ def fit(
     rank: int = RANK,
 ) -> Model:
     """Learn from at most ``2 * per_class`` labelled texts; only their term counts, 12 kB
-    each, reach the driver. Without labelled texts every score is one half."""
+    each before compression, reach the driver. Without labelled texts every score is one
+    half."""
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, per_class)
 
     def run(batches):
         for batch in batches:
-            counted = [count_terms(t).tobytes() for t in batch.column("text").to_pylist()]
+            counted = [
+                zlib.compress(count_terms(t).tobytes(), 1) for t in batch.column("text").to_pylist()
+            ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("label"), pa.array(counted, pa.binary())],
                 ["id", "label", "counts"],
@@ -215,8 +231,9 @@ def fit(
         run, f"id {kind}, label int, counts binary"
     )
     table = rows.toArrow().sort_by("id")
-    raw = b"".join(table.column("counts").to_pylist())
-    counts = np.frombuffer(raw, dtype=np.float32).reshape(-1, TERMS)
+    counts = np.empty((table.num_rows, TERMS), dtype=np.float32)
+    for i, packed in enumerate(table.column("counts")):
+        counts[i] = np.frombuffer(zlib.decompress(packed.as_py()), dtype=np.float32)
     return fit_counts(counts, table.column("label").to_numpy(), neighbours, rank)
 
 
