@@ -19,6 +19,27 @@ def text_of(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
 
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, digest: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and digest are in ``kept`` (``id, digest``), one row
+    for each such pair, with all their columns.
+
+    The input row travels as one column, so that no name of it can clash. The key has no
+    nulls, so the join and the reduction to one row share a single shuffle of the rows.
+    """
+
+    def key(c: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
+
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        key(F.col(f"`{id_col}`")).alias("key"),
+        digest.alias("digest"),
+    )
+    wanted = kept.select(key(F.col("id")).alias("key"), "digest")
+    found = rows.join(wanted, ["key", "digest"], "left_semi")
+    return found.dropDuplicates(["key", "digest"]).select("doc.*")
+
+
 def keyed_texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id, text`` alone: other columns, whatever their names, are left behind.
 

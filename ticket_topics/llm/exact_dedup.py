@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import hot_keys, skew_join
 from ..session import staged
-from .common import keyed_texts, text_of
+from .common import keep_rows, keyed_texts, text_of
 
 FAN_IN_BITS = 3  # eight runs meet in a merge
 RANGE_DIGITS = 4  # hexadecimal digits of the digest that name a range
@@ -143,18 +143,6 @@ def drop_duplicates(
     Rows of one id whose texts differ are told apart by the digest; of rows equal
     in both one stays.
     """
-    groups = duplicate_groups(docs, id_col, text_col)
-    kept = groups.where("kept").select("id", "digest")
-    # the input row travels as one column, so that no name of it can clash
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(f"`{id_col}`").alias("id"),
-        F.unhex(F.sha2(normalised(text_of(text_col)), 256)).alias("digest"),
-    )
-    found = rows.join(
-        kept.withColumnsRenamed({"id": "keep_id", "digest": "keep_digest"}),
-        F.col("id").eqNullSafe(F.col("keep_id"))
-        & (F.col("digest") == F.col("keep_digest")),
-        "left_semi",
-    )
-    return found.dropDuplicates(["id", "digest"]).select("doc.*")
+    kept = duplicate_groups(docs, id_col, text_col).where("kept")
+    digest = F.unhex(F.sha2(normalised(text_of(text_col)), 256))
+    return keep_rows(docs, kept, id_col, digest)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import hot_keys, skew_join
 from ..session import staged
-from .common import keyed_texts, slices, text_of
+from .common import keep_rows, keyed_texts, slices, text_of
 from .components import components
 
 WORDS = 5
@@ -406,18 +406,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """One row of each class, the kept one, with all its columns."""
     kept = _groups(docs, id_col, text_col).where("kept")
-    # the input row travels as one column, so that no name of it can clash
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-        F.col(f"`{id_col}`").alias("id"),
-        F.unhex(F.sha2(words_of(text_of(text_col)), 256)).alias("digest"),
-    )
-    found = rows.join(
-        kept.select(F.col("id").alias("keep_id"), F.col("digest").alias("keep_digest")),
-        F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest")),
-        "left_semi",
-    )
-    return found.dropDuplicates(["id", "digest"]).select("doc.*")
+    digest = F.unhex(F.sha2(words_of(text_of(text_col)), 256))
+    return keep_rows(docs, kept, id_col, digest)
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
