@@ -28,7 +28,7 @@ from .bpe import PieceIds, pieces_of
 from .common import keyed_texts, slices
 
 WINDOW = 8192  # pieces packed at a time
-CACHE_PIECES = 800_000  # text pieces a worker remembers before it starts anew
+CACHE_PIECES = 300_000  # text pieces a worker remembers before it starts anew
 
 
 @dataclass(frozen=True)
