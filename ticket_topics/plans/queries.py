@@ -834,6 +834,10 @@ def model_reload_check(spark, folder):
 
 
 def _service(spark, folder) -> scoring.ScoringService:
+    return artifact(spark, folder, "service", lambda: _served(spark, folder))
+
+
+def _served(spark, folder) -> scoring.ScoringService:
     """The scorer over service records that arrive as files."""
     arriving = scratch_path(spark, "arriving")
     records_ = S.service_records(spark, folder)
