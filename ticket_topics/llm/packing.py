@@ -21,14 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..session import staged
 from .bpe import PieceIds, pieces_of
 from .common import keyed_texts, slices
 
-WINDOW = 8192  # pieces packed at a time
-CACHE_PIECES = 300_000  # text pieces a worker remembers before it starts anew
+WINDOW = 4096  # pieces packed at a time
+CACHE_PIECES = 600_000  # text pieces a worker remembers before it starts anew
 
 
 @dataclass(frozen=True)
