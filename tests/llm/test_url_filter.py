@@ -140,3 +140,20 @@ def test_awkward_urls(spark):
     assert none.count() == 0
     # without rules nothing is learnt and nothing rejected
     assert {r.verdict for r in U.judge_urls(df, ()).collect()} == {"allow"}
+
+
+def test_a_rare_class_keeps_its_grams(spark):
+    """One blocked URL in a thousand; the model is broadcast, and joined as a large one."""
+    allowed = [f"http://site{i % 97}.org/news/story-{i}" for i in range(4000)]
+    bad = [f"http://example.org/es/casino-jackpot-{i}" for i in range(40)]
+    is_held = lambda u: zlib.crc32(letters(u).encode()) % U.HELD_OUT == 0
+    blocked = [u for u in bad if not is_held(u)][:3] + [u for u in bad if is_held(u)][:1]
+    free = [u.removeprefix("http://") for u in (blocked[0], allowed[7])]  # no host, so no rule
+    urls = [*allowed, *blocked, *free]
+    pages = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PAGES)
+    want = brute_scores(urls, 4, 0)
+    for bounds in ({}, {"max_rows": 0}):
+        rows = {r.id: r for r in U.judge_urls(pages, URL_RULES, **bounds).collect()}
+        assert len(rows) == len(urls)
+        assert all(r.score == pytest.approx(want[i], abs=1e-9) for i, r in rows.items())
+        assert [rows[len(urls) - 2].verdict, rows[len(urls) - 1].verdict] == ["block", "allow"]

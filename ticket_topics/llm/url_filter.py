@@ -1,14 +1,13 @@
 """URL filter: host and path rules, then a ratio of character language models.
 
 Two smoothed variable-order Markov models are counted over the characters of the
-URLs that the rules accept and reject. A context is extended only where the
-characters after it are at least a fixed share of all characters seen, which bounds
-the number of grams of each order whatever the size of the input; beyond that a
-character is predicted from the longest context kept. A URL's score is the mean log
+URLs that the rules accept and reject. Every gram that either class holds at least
+``min_count`` times is kept, so the models grow with the input and a rare class keeps
+its own; a character is predicted from the longest context kept. A URL's score is the mean log
 ratio of both models per character, and the cut between accept and reject is set on
 rule-judged URLs that took no part in the counts.
 
-Everything is DataFrame functions. The sum over a URL needs one broadcast join, as the
+Everything is DataFrame functions. The sum over a URL needs one join, as the
 table holds for each gram what it changes against the gram one character shorter:
 the changes of all grams that end at a character add up to the longest one's ratio.
 """
@@ -20,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import BROADCAST_BYTES, BROADCAST_ROWS
+from ..operators.joins import lookup_join
 from ..session import staged
 from .common import text_of
 
@@ -85,7 +86,7 @@ def grams(letters_col: Column, order: int) -> Column:
     )
 
 
-def train(urls: DataFrame, order: int, kept_share: float) -> DataFrame:
+def train(urls: DataFrame, order: int, min_count: int) -> DataFrame:
     """``gram, delta`` from ``letters, allow``, both models in one table.
 
     Grams are counted per task before the shuffle. Witten-Bell smoothing: with n
@@ -100,14 +101,11 @@ def train(urls: DataFrame, order: int, kept_share: float) -> DataFrame:
         ),
         "url-grams",
     ).withColumn("size", F.length("gram"))
-    total = (
-        counts.where("size = 1").agg(F.sum(F.col("n0") + F.col("n1"))).first()[0] or 0
-    )
     contexts = counts.groupBy(F.expr("substring(gram, 1, size - 1)").alias("context"), "size").agg(
         *[F.sum(n).alias(f"all_{n}") for n in ("n0", "n1")],
         *[F.sum((F.col(n) > 0).cast("long")).alias(f"kinds_{n}") for n in ("n0", "n1")],
     )
-    kept = counts.where(F.col("n0") + F.col("n1") >= F.lit(total * kept_share)).withColumn(
+    kept = counts.where(F.greatest("n0", "n1") >= min_count).withColumn(
         "context", F.expr("substring(gram, 1, size - 1)")
     )
     table = staged(kept.join(contexts, ["context", "size"]), "url-kept-grams")
@@ -120,7 +118,7 @@ def train(urls: DataFrame, order: int, kept_share: float) -> DataFrame:
         if level is None:
             grams_here = grams_here.withColumns({"q0": F.lit(1 / alphabet), "q1": F.lit(1 / alphabet)})
         else:
-            # a kept gram's shorter gram is kept as well: it is at least as frequent
+            # a kept gram's shorter gram is kept as well: in each class it is at least as frequent
             shorter = level.select(F.col("gram").alias("tail"), F.col("p0").alias("q0"), F.col("p1").alias("q1"))
             grams_here = grams_here.withColumn("tail", F.expr("substring(gram, 2)")).join(shorter, "tail")
         p = {
@@ -137,11 +135,11 @@ def train(urls: DataFrame, order: int, kept_share: float) -> DataFrame:
     return staged(done.select("gram", change.alias("delta")), "url-model")
 
 
-def score(urls: DataFrame, model: DataFrame, order: int) -> DataFrame:
+def score(urls: DataFrame, model: DataFrame, order: int, **bounds) -> DataFrame:
     """``url_row, score``: mean log ratio per letter, positive when acceptable.
 
-    ``model`` holds at most (order + 1) / kept_share grams and is broadcast. The
-    letters of a URL lie in one task, so the sum is made before the shuffle.
+    ``model`` grows with the URLs learnt: it is broadcast while it is measured to be
+    small, and joined without hot keys beyond that.
     """
     long = urls.select(
         "url_row",
@@ -149,7 +147,7 @@ def score(urls: DataFrame, model: DataFrame, order: int) -> DataFrame:
         F.explode(grams(F.col("letters"), order)).alias("gram"),
     )
     return (
-        long.join(F.broadcast(model), "gram")
+        lookup_join(long, model, "gram", how="inner", **bounds)
         .groupBy("url_row")
         .agg((F.sum("delta") / F.first("n")).alias("score"))
     )
@@ -183,15 +181,18 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     order: int = 4,
-    kept_share: float = 1 / 20_000,
+    min_count: int = 1,
+    max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``id, url, host, path, rule, score, verdict``, one row per input row.
 
     The verdict is the rule's, else ``allow`` from the calibrated cut on. Models learn
-    from every rule-judged URL but one in five, by a hash of the URL. A null or empty
-    URL scores 0; without rule-judged URLs of both kinds the cut is 0. Null and
-    repeated ids stay as they are; an empty table gives no rows; other columns play
-    no part.
+    from every rule-judged URL but one in five, by a hash of the URL, and keep all grams
+    that a class holds ``min_count`` times; up to ``max_rows`` grams and ``max_bytes``
+    they are broadcast. A null or empty URL scores 0; without rule-judged URLs of both
+    kinds the cut is 0. Null and repeated ids stay as they are; an empty table gives no
+    rows; other columns play no part.
     """
     url = text_of(url_col)
     host, path = host_and_path(url)
@@ -213,8 +214,8 @@ def judge_urls(
     )
     ruled = rows.where(F.col("allow").isNotNull())
     held_out = F.pmod(F.crc32(F.col("letters").cast("binary")), F.lit(HELD_OUT)) == 0
-    model = train(ruled.where(~held_out), order, kept_share)
-    scores = staged(score(rows, model, order), "url-scores")
+    model = train(ruled.where(~held_out), order, min_count)
+    scores = staged(score(rows, model, order, max_rows=max_rows, max_bytes=max_bytes), "url-scores")
     scored = rows.join(scores, "url_row", "left").withColumn(
         "score", F.coalesce("score", F.lit(0.0))
     )
