@@ -162,6 +162,17 @@ def test_packing_is_tight(spark):
     assert used <= -(-total // 100) * 1.02
 
 
+def test_packing_of_a_table_sorted_by_length_is_tight(spark):
+    pick = random.Random(6)
+    sizes = [pick.randint(2, 20) for _ in range(12_000)] + [pick.randint(140, 240) for _ in range(6000)]
+    docs = [(i, " ".join(["the"] * n)) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(2)
+    limits = packing.Limits(tokens=256)
+    used = check_packing(packing.pack(df, WORDS, limits=limits).collect(), docs, 256)
+    _, at_once = packing.best_fit(np.array(sizes) + 1, limits)
+    assert used <= len(at_once) * 1.02
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_limit_holds(rule):
     pick = np.random.default_rng(1)

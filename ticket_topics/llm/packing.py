@@ -5,12 +5,15 @@ and attention cost (its squared length). Pieces go in falling length to the open
 sequence that holds them under every limit and is chosen by the weighted norm of what
 would be left, or by the weighted dot product of demand and rest.
 
-Each task packs windows of pieces as they are tokenised. Sequences that are all but
-full stay; the pieces of the others, a few per cent, are gathered and packed again.
+Texts are dealt evenly first, so that every window of pieces has the table's mix of
+lengths in whatever order it lies. Each task packs windows as they are tokenised;
+sequences that are all but full stay, the pieces of the others, a few per cent, are
+gathered and packed again.
 """
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,9 +27,9 @@ from pyspark.sql import DataFrame
 
 from ..session import staged
 from .bpe import PieceIds, pieces_of
-from .common import keyed_texts, slices
+from .common import keyed_texts, shuffle_partitions, slices
 
-WINDOW = 4096  # pieces packed at a time
+WINDOW = 8192  # pieces packed at a time
 CACHE_PIECES = 600_000  # text pieces a worker remembers before it starts anew
 
 
@@ -60,39 +63,51 @@ def best_fit(lengths: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarra
     capacity = limits.capacities()
     weights = np.array(limits.weights) / capacity.astype(float) ** 2
     bins = np.empty(len(lengths), dtype=np.int64)
-    rest = np.empty((len(lengths), 3), dtype=np.int64)
+    left = np.empty(len(lengths), dtype=np.int64)
     used = 0
-    open_bins = np.empty(len(lengths), dtype=np.int64)
+    # of the open bins, oldest first: number, and what is left of each capacity
+    number = np.empty(len(lengths), dtype=np.int64)
+    rest = np.empty((3, len(lengths)))
     n_open = 0
     order = np.argsort(-lengths, kind="stable")
     smallest = int(lengths[order[-1]]) if len(order) else 0
+    # a capacity as wide as the tokens allow can't bind before they do
+    binds = [True, capacity[1] < capacity[0] or smallest < 1, capacity[2] < capacity[0] ** 2]
     for step, i in enumerate(order):
         length = int(lengths[i])
-        demand = np.array([length, 1, length * length], dtype=np.int64)
-        best = -1
+        demand = (length, 1, length * length)
+        at = -1
         if n_open and length < limits.tokens:
-            if step % 256 == 0:  # bins that no piece to come can enter are done
-                now = open_bins[:n_open]
-                now = now[(rest[now, 0] >= smallest) & (rest[now, 1] > 0)]
+            if step % 64 == 0:  # bins that no piece to come can enter are done
+                now = np.flatnonzero((rest[0, :n_open] >= smallest) & (rest[1, :n_open] > 0))
                 n_open = len(now)
-                open_bins[:n_open] = now
-            now = open_bins[:n_open]
-            left = rest[now] - demand
-            fits = np.flatnonzero((left >= 0).all(axis=1))
-            if len(fits):
-                if limits.rule == "norm":
-                    value = -(left[fits].astype(float) ** 2 @ weights)
-                else:
-                    value = (rest[now[fits]] * demand).astype(float) @ weights
-                best = int(now[fits[np.argmax(value)]])
-        if best < 0:
-            best, used = used, used + 1
-            rest[best] = capacity
-            open_bins[n_open] = best
-            n_open += 1
-        rest[best] -= demand
+                number[:n_open], rest[:, :n_open] = number[now], rest[:, now]
+            value = np.zeros(n_open)
+            for kind in range(3):
+                if weights[kind] and limits.rule == "norm":
+                    after = rest[kind, :n_open] - demand[kind]
+                    after *= after
+                    value += weights[kind] * after
+                elif weights[kind]:
+                    value -= weights[kind] * demand[kind] * rest[kind, :n_open]
+            for kind in range(3):
+                if binds[kind]:
+                    value[rest[kind, :n_open] < demand[kind]] = np.inf
+            if n_open:
+                at = int(np.argmin(value))
+                at = at if value[at] < np.inf else -1
+        if at < 0:
+            at, n_open = n_open, n_open + 1
+            number[at], rest[:, at], left[used] = used, capacity, limits.tokens
+            used += 1
+        best = number[at]
+        for kind in range(3):
+            rest[kind, at] -= demand[kind]
+        left[best] -= length
         bins[i] = best
-    return bins, np.maximum(rest[:used, 0], 0)
+        if rest[0, n_open - 1] <= 0:  # a piece that fills its own bin
+            n_open -= 1
+    return bins, np.maximum(left[:used], 0)
 
 
 @lru_cache(maxsize=2)
@@ -193,15 +208,19 @@ def pack(
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         window: list[tuple] = []
+        full: list[tuple] = []  # sequences of their own; they take no place in a window
         for piece in _pieces(batches, path, separator, cap):
-            window.append(piece)
-            if len(window) == WINDOW:
-                batch, used = emit(window, slack, number)
+            pieces = full if piece[3] == cap else window
+            pieces.append(piece)
+            if len(pieces) == WINDOW:
+                batch, used = emit(pieces, slack, number)
                 number += used
-                window = []
+                pieces.clear()
                 yield batch
-        if window:
-            yield emit(window, slack, number)[0]
+        for pieces in filter(None, (full, window)):
+            batch, used = emit(pieces, slack, number)
+            number += used
+            yield batch
 
     def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # above every number of the first round
@@ -219,7 +238,9 @@ def pack(
         if window:
             yield emit(window, cap, number)[0]
 
-    placed = staged(texts.mapInArrow(first_round, schema), "packed")
+    # about one window in a partition: within one, rows still lie in the input's order
+    parts = max(shuffle_partitions(docs), math.ceil(docs.count() / WINDOW))
+    placed = staged(texts.repartition(parts).mapInArrow(first_round, schema), "packed")
     open_pieces = placed.where("sequence_id IS NULL")
     groups = max(1, round(open_pieces.count() / WINDOW))
     again = open_pieces.repartition(groups).mapInArrow(second_round, schema)
