@@ -173,6 +173,16 @@ def test_packing_of_a_table_sorted_by_length_is_tight(spark):
     assert used <= len(at_once) * 1.02
 
 
+def test_default_limits_weigh_every_demand():
+    assert all(w > 0 for w in packing.Limits().weights)
+    pick = np.random.default_rng(2)
+    mixed = np.concatenate([pick.integers(20, 301, 2000), pick.integers(1100, 1901, 1000)])
+    for lengths in (mixed, np.minimum(pick.lognormal(5.2, 0.9, 3000).astype(int) + 1, 2048)):
+        tokens_alone = packing.Limits(weights=(1.0, 0.0, 0.0))
+        used = len(packing.best_fit(lengths, packing.Limits())[1])
+        assert used <= len(packing.best_fit(lengths, tokens_alone)[1])
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_limit_holds(rule):
     pick = np.random.default_rng(1)

@@ -44,7 +44,7 @@ class Limits:
     tokens: int = 2048
     documents: int | None = None
     cost: int | None = None
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0)
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
     rule: str = "norm"  # or "dot"
 
     def capacities(self) -> np.ndarray:
