@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -54,6 +55,36 @@ def test_added_kinds():
     assert pii.find_spans("a plain http://site.org/path and an account of things") == []
 
 
+def accounts(text):
+    return [text[a:b] for k, a, b in pii.find_spans(text) if k == "account"]
+
+
+def test_identifiers_run_to_their_end():
+    for cue, identifier in (
+        ("token=", "a1b2" * 50), ("iban: ", "DE89 3704 0044 0532 0130 00"),
+        ("IBAN ", "GB29NWBK60161331926819"), ("account: ", "1234 5678 9012"),
+        ("api_key=", "sk_live_51Habc123456"), ("secret: ", "AKIA1234+abcd/9999"),
+        ("API Key: ", "ab12cd34"), ("API key ", "ab12cd34"), ("User ID: ", "u-123456"),
+        ("Customer ID ", "C1234567"), ("Account Number: ", "12345678"), ("token: ", "abc.1234.x_y-z=="),
+        ("token: ", "noble12345é678"), ("secret=", "/a+b1234/c"), ("password: ", "P@ss1234:w0rd"),
+    ):
+        for before, behind in (("", ""), ("İ ", " and so on"), ("see (", ") there"), ('"', '", 7'), ("x ", ". Then")):
+            assert accounts(before + cue + identifier + behind) == [identifier], (cue, identifier, behind)
+    text = "token=" + "a1b2" * 50 + "!"
+    assert pii.mask(text, pii.find_spans(text)) == "token=<ACCOUNT>!"
+    # not valid modulo 97, so no grouped IBAN; words are no identifiers
+    assert accounts("iban: DE88 3704 0044 0532 0130 00") == []
+    assert accounts("account 12345678 2nd floor") == ["12345678"]
+    assert accounts("tokens 12345678, an account of 12345678") == []
+    assert [k for k, *_ in pii.find_spans("MAILTO:a@b.org")] == ["address", "email"]
+
+
+def test_many_cues_in_a_long_run():
+    began = time.process_time()
+    assert accounts("token=" + "token_" * 100_000) == []
+    assert time.process_time() - began < 20
+
+
 def test_mask_merges_overlaps():
     text = "x mailto:a@b.org y 10.0.0.1"
     assert pii.mask(text, pii.find_spans(text)) == "x <ADDRESS> y <IP>"

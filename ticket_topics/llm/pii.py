@@ -8,12 +8,14 @@ without an anchor costs only the pass.
 Kinds ``email, ip, card, phone`` follow fixed patterns: the leftmost matches that do
 not overlap, those that fail their check dropped without a second try. ``address``
 (``mailto:``, ``tel:``, or a URL that carries credentials) and ``account`` (an
-identifier after a cue) are what the method adds.
+identifier after a cue) are what the method adds. Cues and schemes are sought without
+regard to case; an identifier runs to its end, however long it is.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,10 +46,15 @@ SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}\Z")
 CREDENTIALS = re.compile(r"[^\s/?#@:<>\"']+:[^\s/?#@<>\"']*@[A-Za-z0-9.-]+")
 MAILTO = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 TEL = re.compile(r"\+?[0-9][0-9().-]{5,20}[0-9]")
-IDENTIFIER = re.compile(
-    r"(?:[\x20_-]?(?:number|no|nr|id|key))?[\x20]{0,3}[:=#]?[\x20]{0,3}[\"']?"
-    r"([A-Za-z0-9][A-Za-z0-9-]{4,126}[A-Za-z0-9])"
+# between a cue and its identifier, in small letters
+LEAD = re.compile(
+    r"(?:[\x20_-]?(?:number|no|nr|id|key)(?![^\W_])|[_-])?[\x20]{0,3}([:=#]?)[\x20]{0,3}([\"']?)"
 )
+KEY = re.compile(r"[\w+/.~=%@$!*:^-]+")
+GROUPS = re.compile(r"[0-9]+(?:[\x20-][0-9]+(?![^\W_]))*")
+IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
+SENTENCE = ".:!*"  # may follow an identifier, and does not end one
+CAPITALS = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
 
 @lru_cache(maxsize=1)
@@ -60,8 +67,7 @@ def anchors() -> ahocorasick.Automaton:
     for scheme in SCHEMES:
         machine.add_word(scheme, ("scheme", len(scheme)))
     for cue in CUES:
-        for form in {cue, cue.upper(), cue.capitalize()}:
-            machine.add_word(form, ("cue", len(form)))
+        machine.add_word(cue, ("cue", len(cue)))
     machine.make_automaton()
     return machine
 
@@ -79,11 +85,81 @@ def _small(part: str) -> bool:
     return len(part) <= 3 and int(part or "0") <= 255
 
 
+def lowered(text: str) -> str:
+    """In small letters, each at its place: where one becomes two, only A-Z are changed."""
+    low = text.lower()
+    return low if len(low) == len(text) else text.translate(CAPITALS)
+
+
+def iban_end(text: str, at: int) -> int:
+    """End of the IBAN that begins at ``at``, grouped or not, valid modulo 97; else -1."""
+    found = IBAN.match(text, at)
+    end = found.end() if found else at
+    while end - at >= 15:
+        sign = text[end - 1]
+        if sign not in " -" and not text[end : end + 1].isalnum():
+            plain = re.sub("[ -]", "", text[at:end])
+            if len(plain) < 15:
+                return -1
+            if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                return end
+        end -= 1
+    return -1
+
+
+class Identifiers:
+    """The identifiers behind cues of one text. The run of key characters seen last is
+    remembered, so cues inside a long one do not read it again."""
+
+    def __init__(self, text: str, low: str):
+        self.text, self.low = text, low
+        self.begin = self.end = 0
+        self.digits: list[int] = []
+
+    def run_end(self, at: int) -> int:
+        """End of the key characters from ``at`` on."""
+        if not self.begin <= at < self.end:
+            found = KEY.match(self.text, at)
+            self.begin, self.end = at, found.end() if found else at
+            self.digits = [k for k in range(at, self.end) if self.text[k].isdigit()]
+        return self.end
+
+    def behind(self, after: int) -> tuple[int, int] | None:
+        """Start and end of the identifier behind a cue that ends at ``after``: six
+        characters or more, of them four digits."""
+        text = self.text
+        if text[after : after + 1].isalpha():
+            return None
+        lead = LEAD.match(self.low, after)
+        start = lead.end()
+        first = text[start : start + 1]
+        if not (first.isalnum() or first and first in "_+/.~%@$!^-" and (lead[1] or lead[2])):
+            return None
+        end = iban_end(text, start)
+        if end < 0:
+            end = self.run_end(start)
+            n = len(self.digits) - bisect_left(self.digits, start)
+            groups = GROUPS.match(text, start)
+            if groups and groups.end() > end:  # digits in groups, and what hangs on the last
+                n = sum(c.isdigit() for c in groups[0])
+                end = groups.end()
+                if rest := KEY.match(text, end):
+                    n += sum(c.isdigit() for c in rest[0])
+                    end = rest.end()
+            if n < 4:
+                return None
+            while text[end - 1] in SENTENCE:
+                end -= 1
+        return (start, end) if end - start >= 6 else None
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """``kind, start, end`` by start, then kind; code points, end exclusive."""
     spans: list[tuple[str, int, int]] = []
     done = dict.fromkeys(KINDS, 0)
-    for last, (kind, size) in anchors().iter(text):
+    low = lowered(text)
+    identifiers = Identifiers(text, low)
+    for last, (kind, size) in anchors().iter(low):
         at = last - size + 1
         if kind == "digit":
             if at >= done["card"] and (found := DIGIT_CHAIN.match(text, at)):
@@ -114,10 +190,9 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         elif kind == "scheme":
             spans += _address(text, at, last + 1, done)
         elif at >= done["account"] and (at == 0 or not text[at - 1].isalnum()):
-            found = IDENTIFIER.match(text, last + 1)
-            if found and not text[last + 1].isalpha() and sum(c.isdigit() for c in found[1]) >= 4:
-                done["account"] = found.end()
-                spans.append(("account", found.start(1), found.end(1)))
+            if found := identifiers.behind(last + 1):
+                done["account"] = found[1]
+                spans.append(("account", *found))
     spans.sort(key=lambda s: (s[1], ORDER[s[0]]))
     return spans
 
@@ -130,7 +205,7 @@ def _address(text: str, at: int, after: int, done: dict[str, int]):
     elif at and text[at - 1].isalnum():
         return
     else:
-        found = (MAILTO if text[at] == "m" else TEL).match(text, after)
+        found = (MAILTO if text[at] in "mM" else TEL).match(text, after)
         start = at
     if found and start >= done["address"]:
         done["address"] = found.end()
