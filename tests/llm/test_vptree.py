@@ -49,6 +49,21 @@ def test_recall_of_the_production_factor(spark):
     assert len(found & want) / len(want) >= 0.95
 
 
+def test_recall_on_vectors_of_low_rank(spark):
+    rng = np.random.default_rng(4)
+    for rank in (4, 8, 16):
+        points = V._unit(rng.normal(size=(4000, rank)) @ rng.normal(size=(rank, 64)))
+        points = V._unit(points + 0.01 * rng.normal(size=points.shape) / 8)
+        rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(points)]
+        df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+        unit = V._unit(np.array([v for _, v in rows]))
+        near = unit[::50] @ unit.T
+        near[np.arange(len(near)), np.arange(0, len(unit), 50)] = -2
+        want = {(50 * q, int(i)) for q, best in enumerate(np.argsort(-near)[:, :5]) for i in best}
+        found = {x[:1] + x[2:3] for x in got(V.nearest(df))}
+        assert len(found & want) / len(want) >= 0.95, rank
+
+
 def test_pruning_skips_points():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(40, 8))

@@ -27,7 +27,7 @@ from ..session import staged
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 LEAF_ROWS = 64
-FACTOR = 4.0
+FACTOR = 1.0  # exact; what a larger one loses depends on the vectors
 SAME = 1e-6  # distances closer than this are not told apart when pruning
 KEY_DIGITS = 12  # cosines equal to so many digits are ties
 
