@@ -81,3 +81,13 @@ def test_long_texts_are_counted_whole():
     text = "some plain words and THEN SOME! " * 80_000
     assert Q.count_terms(text)[: Q.TRIGRAMS].sum() >= len(text) - 10
     assert Q.count_terms("x" * (3 << 20))[: Q.TRIGRAMS].sum() >= (3 << 20) - 10
+
+
+def test_the_default_sample_is_a_thousand_of_each_label(tables):
+    docs, labels = tables
+    learnt = labels.where(Q.fold("doc_id") != 0).join(docs.select("doc_id"), "doc_id", "left_semi")
+    known = {r["quality"]: r["count"] for r in learnt.groupBy("quality").count().collect()}
+    model = Q.fit(docs, labels)
+    for label in (0, 1):
+        assert (model.labels == label).sum() == min(1000, known[label])
+    assert max(known.values()) > 1000

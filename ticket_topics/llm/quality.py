@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed_texts
 
-PER_CLASS = 500
+PER_CLASS = 1000
 NEIGHBOURS = 15
 RANK = 48
 FOLDS = 5  # the fold 0 of crc32(id) is held out
