@@ -6,9 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import bind
 from ..session import scratch_path
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, near_dedup, packing, pii, quality, token_counts, url_filter, vptree, warc
+from . import (
+    bpe,
+    exact_dedup,
+    near_dedup,
+    packing,
+    periodic,
+    pii,
+    quality,
+    spelling,
+    token_counts,
+    url_filter,
+    vptree,
+    warc,
+)
 
 
 def op1_vantage_point_trees(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,6 +127,70 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents; of those whose crc32 is divisible by ten the words
+    from a place on repeat the first words from there, so that long runs occur."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def rewritten(w):
+        n = F.size(w).cast("long")
+
+        def placed(a):
+            p = F.floor((n - a) / (3 + g % 8)) + 1
+            word = F.transform(
+                F.sequence(F.lit(0).cast("long"), n - 1),
+                lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")),
+            )
+            return F.array_join(word, " ")
+
+        return F.when(n > 0, bind(g % n, placed)).otherwise("")
+
+    planted = F.when(h % 10 == 0, bind(words, rewritten)).otherwise(F.col("text"))
+    return docs.select("doc_id", planted.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_periods(read_table(spark, folder, "documents")))
+    runs = F.col("runs")
+    longest = F.array_min(
+        F.transform(
+            runs,
+            lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")),
+        )
+    )
+    lines = F.transform(
+        runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    length, period = -F.col("best.less"), F.col("best.period")
+    return found.withColumn("best", longest).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_planted_slips(words: DataFrame) -> DataFrame:
+    """``word`` of ``id, word``; where 97 divides the crc32 of both, one letter is missing."""
+    h = F.crc32(F.concat_ws(":", F.col("id").cast("string"), "word"))
+    at = F.pmod(h, F.length("word")).cast("int")
+    rest = F.concat(
+        F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.length("word"))
+    )
+    return words.select(F.when(h % 97 == 0, rest).otherwise(F.col("word")).alias("word"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.words_of(read_table(spark, folder, "documents"))
+    return spelling.group_variants(with_planted_slips(words))
+
+
 QUERIES = {
     "op1_vantage_point_trees": op1_vantage_point_trees,
     "op2_url_filter": op2_url_filter,
@@ -124,4 +202,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_order_minhash": op10_order_minhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_spelling_variants": op13_spelling_variants,
 }
