@@ -12,6 +12,7 @@ from ..sources.tables import read_table
 from . import (
     bpe,
     exact_dedup,
+    multi_index,
     near_dedup,
     packing,
     periodic,
@@ -127,6 +128,11 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+def op11_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    links = multi_index.near_vectors(read_table(spark, folder, "embeddings"))
+    return links.withColumnRenamed("id", "vec_id")
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` of the documents; of those whose crc32 is divisible by ten the words
     from a place on repeat the first words from there, so that long runs occur."""
@@ -202,6 +208,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_warc": op9_warc,
     "op10_order_minhash": op10_order_minhash,
+    "op11_multi_index": op11_multi_index,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_spelling_variants": op13_spelling_variants,
 }
