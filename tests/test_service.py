@@ -243,6 +243,7 @@ def test_csv_stage_in_the_chain(spark, tmp_path):
     source = tmp_path / "in.json"
     source.write_text(
         json.dumps({"_id": "1", "_source": {"complaint_what_happened": 'Card, "fee"\nloan'}})
+        + '\n{"_id": "2", \n'
     )
     words = [(w, "NN", w) for w in ("card", "fee", "loan")]
     lexicon = induce_lexicon(spark.createDataFrame(words, "form string, tag string, lemma string"))
@@ -251,6 +252,8 @@ def test_csv_stage_in_the_chain(spark, tmp_path):
         catalog = stages.StageCatalog(str(tmp_path / fmt))
         stage = jobs.preprocess_job(spark, str(source), lexicon, catalog, fmt=fmt)
         rows[fmt] = [r.asDict() for r in stage.collect()]
+        lost = spark.read.parquet(catalog.malformed(str(source))).first()
+        assert lost["corrupt_record"] == '{"_id": "2", ' and lost["offset"] > 0
     assert rows["csv"] == rows["parquet"]
 
 

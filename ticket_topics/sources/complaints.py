@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.records import TEXT
 from ..schema import RAW_COMPLAINT
+from .json_ranges import CORRUPT, read_json_records
 
 
 def read_complaints(
@@ -18,9 +19,13 @@ def read_complaints(
 ) -> DataFrame:
     """Nested complaints from JSON lines or one-line arrays.
 
-    An array printed over several lines needs ``multi_line``; such a file is
-    read by one task, so large exports should come as JSON lines.
+    An array printed over several lines, or on one very long line, needs ``multi_line``;
+    such a file is read in byte ranges by many tasks. ``mode`` is that of Spark's reader
+    of lines. A malformed record becomes a row of nulls: :func:`read_checked_complaints`
+    tells it apart.
     """
+    if multi_line and mode == "PERMISSIVE":
+        return read_json_records(spark, path, schema, "array").select(*schema.fieldNames())
     return (
         spark.read.schema(schema)
         .option("multiLine", multi_line)
@@ -29,6 +34,14 @@ def read_complaints(
     )
 
 
+def read_checked_complaints(
+    spark: SparkSession, path: str, multi_line: bool = False, schema: StructType = RAW_COMPLAINT
+) -> DataFrame:
+    """The same with ``file, offset, corrupt_record`` of every record."""
+    found = read_json_records(spark, path, schema, "array" if multi_line else "lines")
+    return found.select(*schema.fieldNames(), "file", "offset", CORRUPT)
+
+
 def rows_to_frame(
     spark: SparkSession, rows: dict | list[dict], schema: StructType | str = f"{TEXT} string"
 ) -> DataFrame:

@@ -23,6 +23,9 @@ class StageCatalog:
     def preprocessed(self, path: str) -> str:
         return f"{self.base}/preprocessed/{self.stem(path)}"
 
+    def malformed(self, path: str) -> str:
+        return f"{self.base}/malformed/{self.stem(path)}"
+
     def labeled(self, path: str) -> str:
         return f"{self.base}/preprocessed_labeled/{self.stem(path)}"
 
