@@ -17,7 +17,7 @@ from ..operators.features import ENGLISH_STOP_WORDS
 from ..operators.quality import ISO_TIMESTAMP, WITHOUT_SECONDS
 from ..schema import DATE_FIELDS, REQUIRED_FIELDS, SOURCE_FIELDS
 from .queries import ALERT_RATE, METRICS, TOP_TERMS
-from .standins import COPY_ID, EVENT_TYPES, EXPORT_NAME, FAULTY_DATES, FUNCTION_WORDS, LANGS
+from .standins import BROKEN_EVERY, COPY_ID, EVENT_TYPES, EXPORT_NAME, FAULTY_DATES, FUNCTION_WORDS, LANGS
 
 ORACLE: dict[str, str] = {}
 
@@ -117,7 +117,7 @@ FLAT = (
 PRESENT = f"present AS (SELECT * FROM flat WHERE {TEXT} IS NOT NULL AND {TEXT} <> '')"
 FLAT_COLUMNS = ", ".join(("id", "index", "score", "type", *SOURCE_FIELDS))
 
-for key in ("read_nested_json", "flatten_complaints", "parquet_roundtrip"):
+for key in ("read_nested_json", "read_json_array", "flatten_complaints", "parquet_roundtrip"):
     ORACLE[key] = with_([FLAT], f"SELECT {FLAT_COLUMNS} FROM flat")
 
 ORACLE["csv_roundtrip"] = with_(
@@ -498,6 +498,38 @@ ORACLE["dq_quarantine"] = with_(
     "SELECT id, CASE WHEN errors = '' THEN 'valid' ELSE 'quarantine' END AS route, errors FROM c",
 )
 
+_BROKEN = f"CAST(replace(id, 'doc-', '') AS BIGINT) % {BROKEN_EVERY} = 0"
+ORACLE["dq_malformed"] = with_(
+    [FLAT, f"c AS (SELECT id, {_BROKEN} AS broken, {joined(_MISSING + _DOMAIN + _TIMES + _IDS)} AS errors FROM flat)"],
+    "SELECT CASE WHEN NOT broken THEN id END AS id, "
+    "CASE WHEN NOT broken AND errors = '' THEN 'valid' ELSE 'quarantine' END AS route, "
+    "CASE WHEN broken THEN 'malformed_json' ELSE errors END AS errors, "
+    f"CASE WHEN broken THEN '{{\"_index\":\"{EXPORT_NAME}\",\"_type\":\"complaint\",\"_id\":\"' || id || '\"' END AS record FROM c",
+)
+
+# --- tags in context ---------------------------------------------------------
+
+_KNOWN = literals(w for words_ in FUNCTION_WORDS for w in words_)
+_FORM, _BEHIND = "w[i]", f"(i > 1 AND w[i - 1] IN ({_KNOWN}))"
+_WORDS = f"ws AS (SELECT doc_id AS id, lang, {words(f"coalesce({clean('text')}, '')")} AS w FROM documents)"
+_TOKENS = (
+    "toks AS (SELECT id, lang, i, w[i] AS form, "
+    f"CASE WHEN w[i] IN ({_KNOWN}) THEN 'DT' WHEN length(w[i]) % 2 = 0 AND NOT {_BEHIND} THEN 'VB' ELSE 'NN' END AS tag "
+    "FROM (SELECT id, lang, w, unnest(range(1, len(w) + 1)) AS i FROM ws))"
+)
+ORACLE["tag_bigrams"] = with_(
+    [_WORDS, _TOKENS, "p AS (SELECT lag(tag) OVER (PARTITION BY id ORDER BY i) AS previous, tag FROM toks)"],
+    "SELECT previous, tag, count(*) AS n FROM p GROUP BY ALL",
+)
+ORACLE["tag_forms"] = with_(
+    [_WORDS, _TOKENS],
+    "SELECT form, tag, regexp_replace(form, 's$', '') AS lemma, count(*) AS n FROM toks GROUP BY ALL",
+)
+ORACLE["context_tags_check"] = with_(
+    [_WORDS, _TOKENS],
+    "SELECT lang, count(*) AS n_words, true AS beats_lexicon, true AS accurate FROM toks WHERE id % 2 = 1 GROUP BY lang",
+)
+
 # --- monitoring --------------------------------------------------------------
 
 _METRIC = "trim(regexp_replace(lower(topic_name), '[^a-z0-9]+', '_', 'g'), '_')"

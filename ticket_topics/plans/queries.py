@@ -19,11 +19,13 @@ from ..operators import (
     quality,
     records,
     splits,
+    tagger,
     topics,
 )
+from ..operators.joins import lookup_join
 from ..operators.records import TEXT
 from ..session import scratch_path, staged
-from ..sources import complaints, models, runs, stages
+from ..sources import complaints, json_ranges, models, runs, stages
 from ..sources.tables import read_table
 from ..streaming import ingest, scoring
 from ..streaming import monitor as stream_monitor
@@ -70,6 +72,14 @@ def read_nested_json(spark, folder):
     return records.flatten_complaints(complaints.read_complaints(spark, path))
 
 
+@query
+def read_json_array(spark, folder):
+    """The complaints as files of one array each, over many lines, read in byte ranges."""
+    path = scratch_path(spark, "raw-arrays")
+    json_ranges.write_json_arrays(S.raw_complaints(spark, folder), path)
+    return records.flatten_complaints(complaints.read_complaints(spark, path, multi_line=True))
+
+
 @query
 def scan_parquet(spark, folder):
     return read_table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
@@ -283,6 +293,82 @@ def lemmatize_joined(spark, folder):
     return rows.select("id", "complaint_lemmatized", "complaint_pos_filtered")
 
 
+@query
+def tag_bigrams(spark, folder):
+    return tagger.tag_bigrams(S.tagged_sentences(spark, folder))
+
+
+@query
+def tag_forms(spark, folder):
+    return tagger.tag_forms(S.tagged_sentences(spark, folder))
+
+
+def _context_tagger(spark, folder) -> tagger.Tagger:
+    """Learnt from the documents of even id alone."""
+    def build():
+        known = S.tagged_sentences(spark, folder).where(F.col("id") % 2 == 0)
+        return tagger.fit_tagger(known.select("tokens"))
+
+    return artifact(spark, folder, "context-tagger", build)
+
+
+def _right(tags, tokens):
+    pairs = F.arrays_zip(tags.alias("t"), tokens.alias("w"))
+    return F.size(F.filter(pairs, lambda p: p["t"] == p["w"]["tag"]))
+
+
+@query
+def context_tags(spark, folder):
+    """Words and rightly tagged words of every document."""
+    rows = S.tagged_sentences(spark, folder)
+    found = tagger.add_tags(rows, _context_tagger(spark, folder))
+    return found.select(
+        "id", F.size("tags").alias("n_words"), _right(F.col("tags"), F.col("tokens")).alias("n_right")
+    )
+
+
+@query
+def context_tags_check(spark, folder):
+    """Documents the tagger has not seen: it tags more words rightly than a lexicon that
+    gives each form its most frequent tag, and over four in five."""
+    unseen = S.tagged_sentences(spark, folder).where(F.col("id") % 2 == 1)
+    model = _context_tagger(spark, folder)
+    found = tagger.add_tags(unseen, model, tags="tags").select(
+        "lang", F.size("tags").alias("n"), _right(F.col("tags"), F.col("tokens")).alias("n_right"), "tokens"
+    )
+    best = F.array_position("scores", F.array_max("scores"))
+    names = F.array(*[F.lit(t) for t in model.tags])
+    totals = F.array(*[F.lit(float(t)) for t in _tag_totals(spark, folder, model)])
+    # from log share of a tag's words to that of a form's tags
+    counts = F.transform(F.arrays_zip("scores", totals.alias("total")), lambda z: z["scores"] + F.log(z["total"]))
+    lexicon_tags = model.forms.withColumn("scores", counts).select("form", F.get(names, (best - 1).cast("int")).alias("guess"))
+    tokens = unseen.select("lang", F.explode("tokens").alias("token")).select("lang", "token.*")
+    guessed = lookup_join(tokens, lexicon_tags, "form").groupBy("lang").agg(
+        F.count_if(F.col("guess") == F.col("tag")).alias("by_form")
+    )
+    sums = found.groupBy("lang").agg(F.sum("n").alias("n_words"), F.sum("n_right").alias("n_right"))
+    return sums.join(guessed, "lang", "left").select(
+        "lang",
+        "n_words",
+        (F.col("n_right") >= F.coalesce("by_form", F.lit(0))).alias("beats_lexicon"),
+        (F.col("n_right") >= 0.8 * F.col("n_words")).alias("accurate"),
+    )
+
+
+def _tag_totals(spark, folder, model) -> list[int]:
+    known = S.tagged_sentences(spark, folder).where(F.col("id") % 2 == 0)
+    sums = known.select(F.explode("tokens.tag").alias("tag")).groupBy("tag").count().collect()
+    by_tag = {r["tag"]: r["count"] for r in sums}
+    return [by_tag[t] for t in model.tags]
+
+
+@query
+def context_nouns(spark, folder):
+    rows = S.tagged_sentences(spark, folder).select("id", "complaint_cleaned")
+    found = tagger.lemmatize_in_context(rows, _context_tagger(spark, folder))
+    return found.select("id", "complaint_lemmatized", "complaint_pos_filtered")
+
+
 @query
 def preprocess(spark, folder):
     rows = lexicon.preprocess(S.raw_complaints(spark, folder), _lexicon(spark, folder))
@@ -1057,6 +1143,28 @@ def dq_quarantine(spark, folder):
     return checked.select("id", "route", F.array_join("errors", ",").alias("errors"))
 
 
+@query
+def dq_malformed(spark, folder):
+    """Complaints as JSON lines, some broken off behind their id: every line is either a
+    record, judged by the rules, or in the quarantine with its whole text."""
+    path = scratch_path(spark, "faulty-lines")
+    S.faulty_lines(spark, folder).write.text(path)
+    checked = complaints.read_checked_complaints(spark, path)
+    flat = records.flatten_complaints(quality.without_malformed(checked))
+    judged = quality.with_route(quality.validate(flat))
+    bad = quality.malformed(checked)
+    return judged.select(
+        "id", "route", F.array_join("errors", ",").alias("errors"), F.lit(None).cast("string").alias("record")
+    ).unionByName(
+        bad.select(
+            F.lit(None).cast("string").alias("id"),
+            F.lit("quarantine").alias("route"),
+            F.array_join("errors", ",").alias("errors"),
+            F.col("corrupt_record").alias("record"),
+        )
+    )
+
+
 # --- monitoring --------------------------------------------------------------
 
 

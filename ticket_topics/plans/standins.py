@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.arrays import argmax
+from ..functions.arrays import argmax, bind
 from ..functions.hashing import md5_bucket
 from ..operators.records import TEXT
 from ..operators.topics import label_index
@@ -98,6 +98,21 @@ def raw_complaints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+BROKEN_EVERY = 9
+
+
+def faulty_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """``value``: the complaints as JSON lines; those whose complaint number is divisible
+    by BROKEN_EVERY break off behind their id."""
+    raw = raw_complaints(spark, folder)
+    line = F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    number = F.regexp_extract("_id", r"(\d+)$", 1).cast("bigint")
+    broken = F.substring(line, F.lit(1), F.locate(',"_score"', line) - 1)
+    return raw.select(
+        F.when(number % BROKEN_EVERY == 0, broken).otherwise(line).alias("value")
+    )
+
+
 def service_records(spark: SparkSession, folder: str) -> DataFrame:
     """The same records under the names of the scorer's request."""
     raw = raw_complaints(spark, folder)
@@ -161,3 +176,31 @@ def tagged_tokens(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_replace("form", "s$", "").alias("lemma"),
         "n",
     )
+
+
+def tagged_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    """``id, lang, complaint_cleaned, tokens``: every document as one tagged sentence.
+
+    Function words are DT. A word of an even number of letters is NN behind one of them
+    and VB elsewhere, so its tag depends on its place; other words are NN.
+    """
+    known = [w for words in FUNCTION_WORDS for w in words]
+    cleaned = documents(spark, folder).select(
+        "id", "lang", X.clean_text(F.col("text")).alias("complaint_cleaned")
+    )
+    def tagged(words):
+        def token(form, i):
+            behind = (i > 0) & F.coalesce(F.get(words, i - 1).isin(*known), F.lit(False))
+            tag = (
+                F.when(form.isin(*known), "DT")
+                .when((F.length(form) % 2 == 0) & ~behind, "VB")
+                .otherwise("NN")
+            )
+            return F.struct(
+                form.alias("form"), tag.alias("tag"), F.regexp_replace(form, "s$", "").alias("lemma")
+            )
+
+        return F.transform(words, token)
+
+    words = X.words(F.coalesce("complaint_cleaned", F.lit("")))
+    return cleaned.withColumn("tokens", bind(words, tagged))
