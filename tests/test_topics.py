@@ -9,6 +9,8 @@ from ticket_topics.operators import nmf as N
 from ticket_topics.operators import topics as T
 from ticket_topics.sources import models
 
+from .plans import explained
+
 THEMES = [["card", "credit", "visa", "limit"], ["loan", "house", "rate", "mortgage"], ["theft", "fraud", "police", "stolen"]]
 
 
@@ -134,3 +136,45 @@ def test_names_and_matrix(spark):
     )
     wide = T.topic_word_matrix(T.top_terms(weights, n=2), n=2).orderBy("topic").collect()
     assert [tuple(r) for r in wide] == [(0, "c", "a"), (1, "z", None)]
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_nmf_pass_equals_dense_products(planted, monkeypatch, held):
+    monkeypatch.setattr(N, "BLOCK_CELLS", 50)
+    vocab, docs = nmf_rows(planted)
+    rows = {r.id: (r.j, r.x) for r in docs.collect()}
+    n = vocab.count()
+    dense = np.zeros((len(rows), n))
+    for i, (j, x) in enumerate(rows.values()):
+        dense[i, j] = x
+    blocks = N.document_blocks(docs)
+    assert blocks.count() > 3
+    way = N._Held(blocks, vocab) if held else N._Factor(blocks, vocab, max_rows=1, max_bytes=1)
+    h = way.start(4, 3)
+    table = h if held else way._keep(h)
+    by_term = np.zeros((n, 4))
+    for j, row in enumerate(h) if held else ((r.j, r.h) for r in table.collect()):
+        by_term[j] = row
+    for inner in (None, by_term.T @ by_term):
+        target = dense @ by_term
+        w = target if inner is None else N.solve(target, inner, 60)
+        step = way.run(h, inner)
+        got = np.zeros((n, 4))
+        for j, row in enumerate(step.xtw) if held else ((r.j, r.h) for r in step.xtw.collect()):
+            got[j] = row
+        assert np.allclose(got, dense.T @ w, atol=1e-9)
+        assert np.allclose(step.gram, w.T @ w, atol=1e-9)
+        assert np.allclose(step.plus, (np.maximum(w, 0) ** 2).sum(0), atol=1e-9)
+        assert np.allclose(step.minus, (np.minimum(w, 0) ** 2).sum(0), atol=1e-9)
+
+
+def test_nmf_pass_does_not_shuffle_the_documents(planted):
+    vocab, docs = nmf_rows(planted)
+    blocks = N.document_blocks(docs)
+    assert "Exchange" not in explained(blocks.select("x"))
+    way = N._Factor(blocks, vocab, max_rows=1, max_bytes=1)
+    try:
+        plan = explained(way.blocks.join(way.named.groupBy("block").count(), "block"))
+        assert plan.split("InMemoryRelation")[0].count("Exchange hashpartitioning(block") == 1
+    finally:
+        way.close()

@@ -530,6 +530,33 @@ ORACLE["context_tags_check"] = with_(
     "SELECT lang, count(*) AS n_words, true AS beats_lexicon, true AS accurate FROM toks WHERE id % 2 = 1 GROUP BY lang",
 )
 
+# --- topics that keep their ids ----------------------------------------------
+
+
+def _lang_words(odd: int, langs) -> str:
+    return (
+        f"SELECT topic, term, CAST(count(*) AS DOUBLE) AS weight FROM (SELECT {case_index('lang', langs)} AS topic, "
+        f"unnest({words(clean('text'))}) AS term FROM documents WHERE doc_id % 2 = {odd}) GROUP BY ALL"
+    )
+
+
+_COSINES = [
+    f"old_t AS ({_lang_words(0, LANGS)})",
+    f"new_t AS ({_lang_words(1, LANGS[::-1])})",
+    "lo AS (SELECT topic, sqrt(sum(weight * weight)) AS l FROM old_t GROUP BY topic)",
+    "ln AS (SELECT topic, sqrt(sum(weight * weight)) AS l FROM new_t GROUP BY topic)",
+    "dots AS (SELECT o.topic AS old, n.topic AS new, sum(o.weight * n.weight) AS dot FROM old_t o "
+    "JOIN new_t n ON o.term = n.term GROUP BY ALL)",
+    "cosines AS (SELECT old, new, round(dot / (lo.l * ln.l), 6) AS cosine FROM dots "
+    "JOIN lo ON lo.topic = old JOIN ln ON ln.topic = new)",
+]
+ORACLE["topic_cosines"] = with_(_COSINES, "SELECT old, new, cosine FROM cosines")
+ORACLE["topic_alignment"] = with_(
+    _COSINES,
+    "SELECT new AS fitted, arg_max(old, cosine) AS topic, max(cosine) AS cosine, 'kept' AS state "
+    "FROM cosines GROUP BY new",
+)
+
 # --- monitoring --------------------------------------------------------------
 
 _METRIC = "trim(regexp_replace(lower(topic_name), '[^a-z0-9]+', '_', 'g'), '_')"

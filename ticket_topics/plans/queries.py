@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..config import METRICS, N_TOPICS, TOP_TERMS
 from ..functions import text as X
 from ..operators import (
+    alignment,
     classify,
     compare,
     evaluate,
@@ -663,6 +664,31 @@ def label_after_relabel(spark, folder):
     )
 
 
+def _lang_counts(spark, folder, odd: bool) -> DataFrame:
+    """``topic, term, weight``: counted words of each language in documents of odd or even
+    id; in those of odd id the languages are numbered in the opposite order."""
+    rows = S.documents(spark, folder).where(F.col("id") % 2 == int(odd))
+    number = S.label_index(F.col("lang"), S.LANGS[::-1] if odd else S.LANGS)
+    words = rows.select(number.alias("topic"), F.explode(X.words(X.clean_text(F.col("text")))).alias("term"))
+    return words.groupBy("topic", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+@query
+def topic_cosines(spark, folder):
+    rows = alignment.topic_cosines(_lang_counts(spark, folder, False), _lang_counts(spark, folder, True))
+    return rows.withColumn("cosine", r6("cosine"))
+
+
+@query
+def topic_alignment(spark, folder):
+    """The languages are found again, whatever their number."""
+    found = alignment.align_topics(
+        staged(_lang_counts(spark, folder, False), "old-topics"),
+        staged(_lang_counts(spark, folder, True), "new-topics"),
+    )
+    return alignment.mapping_table(spark, found).withColumn("cosine", r6("cosine"))
+
+
 @query
 def argmax_topic(spark, folder):
     rows = read_table(spark, folder, "embeddings")
