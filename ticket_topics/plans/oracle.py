@@ -638,6 +638,7 @@ def split_check(percent: int) -> str:
 
 
 ORACLE["lr_fit_check"] = split_check(80)
+ORACLE["lr_wide_fit_check"] = split_check(80)
 ORACLE["lr_ovr_fit_check"] = split_check(75)
 ORACLE["train_and_evaluate_check"] = (
     f"SELECT DISTINCT {split_of('doc_id', 80)} AS split, true AS in_range, true AS equal FROM documents"

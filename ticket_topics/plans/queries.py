@@ -22,6 +22,7 @@ from ..operators import (
     splits,
     tagger,
     topics,
+    wide_classify,
 )
 from ..operators.joins import lookup_join
 from ..operators.records import TEXT
@@ -893,6 +894,25 @@ def lr_ovr_fit_check(spark, folder):
     return _accuracy_check(spark, folder, lr_ovr_fit(spark, folder), 75)
 
 
+@query
+def lr_wide_fit(spark, folder):
+    """The multinomial classifier with its coefficients as a table."""
+    rows = splits.hash_split(S.training_rows(spark, folder), train_percent=80)
+    labelled = staged(rows.select("id", F.col("topic").alias("label"), "split"), "labelled-rows")
+    weights = staged(_tfidf(spark, folder).select("id", "term_id", "weight"), "wide-weights")
+    train = labelled.where("split = 'train'")
+    known = wide_classify.training_rows(weights.join(train.select("id"), "id", "left_semi"), train)
+    model = wide_classify.fit_wide(known, _vocabulary(spark, folder), len(S.LANGS), reg=1e-3)
+    scored = wide_classify.score_wide(weights, model, labelled)
+    rows = labelled.join(scored.select("id", "prediction"), "id")
+    return evaluate.accuracy(rows, by=("split",)).withColumn("accuracy", r6("accuracy"))
+
+
+@query
+def lr_wide_fit_check(spark, folder):
+    return _accuracy_check(spark, folder, lr_wide_fit(spark, folder), 80)
+
+
 @query
 def train_and_evaluate_check(spark, folder):
     rows = train_and_evaluate(spark, folder)
