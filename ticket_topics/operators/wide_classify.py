@@ -88,7 +88,8 @@ def _advanced(old: np.ndarray, new: np.ndarray, gradient: np.ndarray, reg: float
 
 
 def _products(v: np.ndarray) -> np.ndarray:
-    return np.einsum("rvc,rwc->vw", v, v)
+    flat = np.moveaxis(v, 1, 0).reshape(v.shape[1], -1)
+    return flat @ flat.T
 
 
 def direction(gram: np.ndarray, pairs: int) -> np.ndarray:

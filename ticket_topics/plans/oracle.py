@@ -530,6 +530,14 @@ ORACLE["context_tags_check"] = with_(
     "SELECT lang, count(*) AS n_words, true AS beats_lexicon, true AS accurate FROM toks WHERE id % 2 = 1 GROUP BY lang",
 )
 
+_FAR = "exp(-x * x) / sqrt(pi()) / list_reduce(list_prepend(x, list_transform(range(90, 0, -1), lambda k: CAST(k AS DOUBLE))), lambda t, k: x + k / 2 / t)"
+_CLOSE = "1 - coalesce(list_sum(list_transform(range(0, 100), lambda n: exp((2 * n + 1) * ln(x) - x * x - lgamma(n + 1.5)))), 0)"
+ORACLE["p_value_tails"] = (
+    "WITH s AS (SELECT (doc_id % 200) / 10.0 AS z_score, count(*) AS n FROM documents GROUP BY ALL), "
+    "t AS (SELECT *, z_score / sqrt(2) AS x FROM s) "
+    f"SELECT z_score, n, round(ln(CASE WHEN x = 0 THEN 1.0 WHEN x < 2.5 THEN {_CLOSE} ELSE {_FAR} END), 8) AS log_p FROM t"
+)
+
 # --- topics that keep their ids ----------------------------------------------
 
 

@@ -6,8 +6,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import METRICS, N_TOPICS, TOP_TERMS
+from ..config import LR_MAX_ITER, METRICS, N_TOPICS, TOP_TERMS
 from ..functions import text as X
+from ..functions.stats import two_sided_p
 from ..operators import (
     alignment,
     classify,
@@ -894,18 +895,27 @@ def lr_ovr_fit_check(spark, folder):
     return _accuracy_check(spark, folder, lr_ovr_fit(spark, folder), 75)
 
 
+def _wide_scores(spark, folder) -> DataFrame:
+    """The multinomial classifier with its coefficients as a table."""
+    def build():
+        rows = splits.hash_split(S.training_rows(spark, folder), train_percent=80)
+        labelled = staged(rows.select("id", F.col("topic").alias("label"), "split"), "labelled-rows")
+        weights = staged(_tfidf(spark, folder).select("id", "term_id", "weight"), "wide-weights")
+        train = labelled.where("split = 'train'")
+        known = wide_classify.training_rows(weights.join(train.select("id"), "id", "left_semi"), train)
+        model = wide_classify.fit_wide(
+            known, _vocabulary(spark, folder), len(S.LANGS), reg=1e-3, max_iter=LR_MAX_ITER, tol=1e-3
+        )
+        scored = wide_classify.score_wide(weights, model, labelled)
+        rows = labelled.join(scored.select("id", "prediction"), "id")
+        return staged(evaluate.accuracy(rows, by=("split",)), "wide-accuracy")
+
+    return artifact(spark, folder, "wide-classifier", build)
+
+
 @query
 def lr_wide_fit(spark, folder):
-    """The multinomial classifier with its coefficients as a table."""
-    rows = splits.hash_split(S.training_rows(spark, folder), train_percent=80)
-    labelled = staged(rows.select("id", F.col("topic").alias("label"), "split"), "labelled-rows")
-    weights = staged(_tfidf(spark, folder).select("id", "term_id", "weight"), "wide-weights")
-    train = labelled.where("split = 'train'")
-    known = wide_classify.training_rows(weights.join(train.select("id"), "id", "left_semi"), train)
-    model = wide_classify.fit_wide(known, _vocabulary(spark, folder), len(S.LANGS), reg=1e-3)
-    scored = wide_classify.score_wide(weights, model, labelled)
-    rows = labelled.join(scored.select("id", "prediction"), "id")
-    return evaluate.accuracy(rows, by=("split",)).withColumn("accuracy", r6("accuracy"))
+    return _wide_scores(spark, folder).withColumn("accuracy", r6("accuracy"))
 
 
 @query
@@ -1147,6 +1157,15 @@ def ab_verdict(spark, folder):
     return _round_runs(compare.compare_runs(_run_summary(spark, folder)), "verdict")
 
 
+@query
+def p_value_tails(spark, folder):
+    """How documents that share a score are tested: p by its logarithm, far into the tail."""
+    z = (F.col("id") % 200) / F.lit(10.0)
+    rows = S.documents(spark, folder).select(z.alias("z_score"))
+    counts = rows.groupBy("z_score").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("log_p", F.round(F.log(two_sided_p(F.col("z_score"))), 8))
+
+
 # --- input rules -------------------------------------------------------------
 
 
