@@ -24,6 +24,7 @@ METRICS = ("accuracy", "precision", "recall", "f1")
 
 RATE_WINDOW_SECONDS = 300
 RATE_THRESHOLD = 0.3
+QUIET_SECONDS = 600
 WATERMARK = "10 minutes"
 
 # A table is broadcast only when it was measured to be below both bounds.

@@ -16,7 +16,7 @@ from ..config import (
 from ..operators.features import ENGLISH_STOP_WORDS
 from ..operators.quality import ISO_TIMESTAMP, WITHOUT_SECONDS
 from ..schema import DATE_FIELDS, REQUIRED_FIELDS, SOURCE_FIELDS
-from .queries import ALERT_RATE, METRICS, TOP_TERMS
+from .queries import ALERT_RATE, CHANGE_QUIET, CHANGE_RATE, METRICS, TOP_TERMS
 from .standins import BROKEN_EVERY, COPY_ID, EVENT_TYPES, EXPORT_NAME, FAULTY_DATES, FUNCTION_WORDS, LANGS
 
 ORACLE: dict[str, str] = {}
@@ -593,6 +593,32 @@ ORACLE["topic_rate_stream"] = with_(
 )
 
 
+def _alert_changes(seen: str) -> str:
+    """Runs of windows over the rate, up to the time the stream has seen."""
+    return with_(
+        [
+            *RATES,
+            "upto AS (SELECT max(epoch_ms(ts)) / 1000.0 - 600 AS s FROM ev)",
+            f"hot AS (SELECT topic, start + 300 AS e, rate FROM rates WHERE rate > {CHANGE_RATE} {seen}), "
+            "gaps AS (SELECT *, e - lag(e) OVER (PARTITION BY topic ORDER BY e) AS gap FROM hot)",
+            f"runs AS (SELECT *, sum(CASE WHEN gap <= {CHANGE_QUIET} THEN 0 ELSE 1 END) "
+            "OVER (PARTITION BY topic ORDER BY e) AS run FROM gaps)",
+            "al AS (SELECT topic, min(e) AS since, max(e) AS last, arg_min(rate, e) AS first_rate, "
+            "max(rate) AS peak, count(*) AS n FROM runs GROUP BY topic, run)",
+            "changes AS (SELECT topic, 'raised' AS state, since AS moment, since, first_rate AS peak, 1 AS n FROM al "
+            f"UNION ALL SELECT topic, 'cleared', last + {CHANGE_QUIET}, since, peak, n FROM al "
+            f"{f'WHERE last + {CHANGE_QUIET} <= (SELECT s FROM upto)' if seen else ''})",
+        ],
+        "SELECT topic, state, strftime(make_timestamp(CAST(moment * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS \"at\", "
+        "strftime(make_timestamp(CAST(since * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS since, "
+        "round(CAST(peak AS DOUBLE), 6) AS peak, n AS n_windows FROM changes",
+    )
+
+
+ORACLE["topic_alert_changes"] = _alert_changes("")
+ORACLE["topic_alert_stream"] = _alert_changes("AND start + 300 <= (SELECT s FROM upto)")
+
+
 # --- what must hold of fits and of what depends on them -----------------------
 
 HAS_TERMS = "id IN (SELECT id FROM counts)"
@@ -621,6 +647,14 @@ ORACLE["lda_mixture_check"] = with_(
     f"SELECT id, {HAS_TERMS} AS has_terms, CAST(CASE WHEN {HAS_TERMS} THEN 1 ELSE 0 END AS DOUBLE) AS mass, "
     "true AS is_argmax, true AS in_range FROM cleaned",
 )
+ORACLE["lda_wide_mixture_check"] = with_(
+    TICKET_VOCAB,
+    f"SELECT id, {HAS_TERMS} AS has_terms, CAST(CASE WHEN {HAS_TERMS} THEN 1 ELSE 0 END AS DOUBLE) AS mass, "
+    "true AS is_argmax FROM cleaned",
+)
+ORACLE["lda_wide_mass"] = with_(
+    TICKET_VOCAB, "SELECT term, CAST(cnt AS DOUBLE) AS n, true AS bound_rises FROM vocabulary"
+)
 ORACLE["topic_terms_check"] = terms_check()
 ORACLE["nmf_fit_check"] = terms_check(", true AS loss_falls, true AS converged")
 ORACLE["nmf_transform_check"] = with_(

@@ -24,13 +24,14 @@ from ..operators import (
     tagger,
     topics,
     wide_classify,
+    wide_lda,
 )
 from ..operators.joins import lookup_join
 from ..operators.records import TEXT
 from ..session import scratch_path, staged
 from ..sources import complaints, json_ranges, models, runs, stages
 from ..sources.tables import read_table
-from ..streaming import ingest, scoring
+from ..streaming import alerts, ingest, scoring
 from ..streaming import monitor as stream_monitor
 from . import jobs
 from . import standins as S
@@ -39,6 +40,7 @@ QUERIES = {}
 
 FINAL = "complaint_final"
 ALERT_RATE = 0.01
+CHANGE_RATE, CHANGE_QUIET = 0.006, 300  # two predictions in a window are over it
 
 
 def query(fn):
@@ -584,6 +586,71 @@ def lda_fit_check(spark, folder):
     )
 
 
+def _ticket_counts(spark, folder):
+    return artifact(
+        spark,
+        folder,
+        "ticket-counts",
+        lambda: staged(
+            features.count_terms(
+                _cleaned(spark, folder),
+                features.ticket_tokens(F.col(FINAL)),
+                _vocabulary(spark, folder),
+                "id",
+            ).select("id", "term_id", "tf"),
+            "ticket-counts",
+        ),
+    )
+
+
+def _wide_lda(spark, folder) -> wide_lda.WideLDA:
+    def build():
+        rows = wide_lda.count_rows(_ticket_counts(spark, folder))
+        return wide_lda.fit_wide_lda(rows, _vocabulary(spark, folder), N_TOPICS, max_rounds=12)
+
+    return artifact(spark, folder, "wide-lda", build)
+
+
+def _wide_lda_labels(spark, folder):
+    ids = S.documents(spark, folder).select("id")
+    return wide_lda.label_wide_lda(_ticket_counts(spark, folder), _wide_lda(spark, folder), ids)
+
+
+@query
+def lda_wide_fit(spark, folder):
+    """Top terms of the topics of an LDA whose topic matrix is a table."""
+    model = _wide_lda(spark, folder)
+    named = model.topics.withColumnRenamed("j", "term_id").join(_vocabulary(spark, folder), "term_id")
+    weights = named.select("term", F.posexplode("h").alias("topic", "weight"))
+    return topics.top_terms(weights).withColumn("weight", r6("weight"))
+
+
+@query
+def lda_wide_mass(spark, folder):
+    """Words of every term over all topics, which the prior added to, and whether the
+    bound of the fit ever fell."""
+    model = _wide_lda(spark, folder)
+    rises = all(b >= a - 1e-6 for a, b in zip(model.bounds, model.bounds[1:]))
+    mass = F.aggregate("h", F.lit(0.0), lambda s, w: s + w) - len(model.totals) * model.eta
+    named = model.topics.withColumnRenamed("j", "term_id").join(_vocabulary(spark, folder), "term_id")
+    return named.select("term", F.round(mass, 4).alias("n"), F.lit(rises).alias("bound_rises"))
+
+
+@query
+def lda_wide_mixture(spark, folder):
+    rows = _wide_lda_labels(spark, folder)
+    parts = [r6(F.col("mixture")[i]).alias(f"topic_{i}") for i in range(N_TOPICS)]
+    return rows.select("id", *parts, "topic", "has_terms")
+
+
+@query
+def lda_wide_mixture_check(spark, folder):
+    rows = _wide_lda_labels(spark, folder)
+    mass = F.aggregate("mixture", F.lit(0.0), lambda s, p: s + p)
+    best = F.col("mixture")[F.col("topic")] == F.array_max("mixture")
+    return rows.select("id", "has_terms", F.round(mass, 6).alias("mass"), best.alias("is_argmax"))
+
+
 @query
 def lda_mixture(spark, folder):
     rows = _lda_labels(spark, folder)
@@ -1279,3 +1346,26 @@ def topic_rate_stream(spark, folder):
     path = scratch_path(spark, "rates")
     ingest.run_available(rates, path, scratch_path(spark, "rate-checkpoint"))
     return _rates(spark.read.schema(rates.schema).parquet(path))
+
+
+def _changes(rows: DataFrame) -> DataFrame:
+    times = [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("at", "since")]
+    return rows.select("topic", "state", *times, r6("peak").alias("peak"), "n_windows")
+
+
+@query
+def topic_alert_changes(spark, folder):
+    """When the alert of a topic was raised, and when it was cleared."""
+    rates = monitor.topic_rates(_events(spark, folder))
+    return _changes(monitor.alert_changes(rates, CHANGE_RATE, CHANGE_QUIET))
+
+
+@query
+def topic_alert_stream(spark, folder):
+    """The same as they come about on the stream, by state and timers."""
+    changes = alerts.stream_alerts(
+        _event_stream(spark, folder), threshold=CHANGE_RATE, quiet_seconds=CHANGE_QUIET
+    )
+    path = scratch_path(spark, "alerts")
+    ingest.run_available(changes, path, scratch_path(spark, "alert-checkpoint"))
+    return _changes(spark.read.schema(changes.schema).parquet(path))
