@@ -35,7 +35,7 @@ def read_complaints(
 
 
 def read_checked_complaints(
-    spark: SparkSession, path: str, multi_line: bool = False, schema: StructType = RAW_COMPLAINT
+    spark: SparkSession, path: str | list[str], multi_line: bool = False, schema: StructType = RAW_COMPLAINT
 ) -> DataFrame:
     """The same with ``file, offset, corrupt_record`` of every record."""
     found = read_json_records(spark, path, schema, "array" if multi_line else "lines")
