@@ -632,6 +632,7 @@ def terms_check(more: str = "") -> str:
     return _TERMS.format(n=TOP_TERMS, k=N_TOPICS, more=more)
 
 
+ORACLE["preprocess_arrivals"] = ORACLE["preprocess"]
 ORACLE["lemmatize_joined"] = with_(
     _LEMMAS, "SELECT id, complaint_lemmatized, complaint_pos_filtered FROM stages"
 )

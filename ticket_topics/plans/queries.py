@@ -33,7 +33,7 @@ from ..sources import complaints, json_ranges, models, runs, stages
 from ..sources.tables import read_table
 from ..streaming import alerts, ingest, scoring
 from ..streaming import monitor as stream_monitor
-from . import jobs
+from . import arrivals, jobs
 from . import standins as S
 
 QUERIES = {}
@@ -388,6 +388,29 @@ def preprocess(spark, folder):
     )
 
 
+@query
+def preprocess_arrivals(spark, folder):
+    """The complaints in three arrivals of files, through cleaning, labels and scores."""
+    raw, source = S.raw_complaints(spark, folder), scratch_path(spark, "arrivals")
+    catalog = stages.StageCatalog(scratch_path(spark, "arrival-stages"))
+    history = f"{source}/history"
+    raw.write.json(history)
+    words = _lexicon(spark, folder)
+    jobs.preprocess_job(spark, history, words, catalog)
+    jobs.label_job(spark, history, catalog, "relabel")
+    trained, _ = jobs.train_job(spark, history, catalog)
+    chain = arrivals.ArrivingChain(
+        words, catalog, trained.model, f"{source}/tables", f"{source}/checkpoint"
+    )
+    for i in range(3):
+        part = raw.where(F.pmod(F.xxhash64("_id"), F.lit(3)) == i)
+        part.write.mode("append").json(f"{source}/new")
+        chain.run(arrivals.new_files(spark, f"{source}/new", "*.json"))
+    return chain.table(spark, "preprocessed").select(
+        "id", "product", TEXT, "complaint_cleaned", "complaint_lemmatized", "complaint_pos_filtered", FINAL
+    )
+
+
 # --- tokens and features -----------------------------------------------------
 
 
