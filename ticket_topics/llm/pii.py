@@ -9,7 +9,11 @@ Kinds ``email, ip, card, phone`` follow fixed patterns: the leftmost matches tha
 not overlap, those that fail their check dropped without a second try. ``address``
 (``mailto:``, ``tel:``, or a URL that carries credentials) and ``account`` (an
 identifier after a cue) are what the method adds. Cues and schemes are sought without
-regard to case; an identifier runs to its end, however long it is.
+regard to case; a cue may be a quoted name, as in JSON. An identifier runs to its end,
+however long it is, and holds six signs or more, of them four digits. Behind a cue for
+secrets and ``:`` or ``=`` it needs fewer: none after ``password`` or in quotes, else one
+digit among letters. Without such a separator years and dates are no identifiers, and a
+plain URL is none unless it is given as a secret.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from string import ascii_letters
 
 import ahocorasick
 import pyarrow as pa
@@ -34,6 +39,7 @@ CUES = (
     "account", "acct", "iban", "token", "api_key", "apikey", "api key", "secret",
     "password", "passport", "ssn", "user id", "customer id", "konto", "cuenta", "compte",
 )
+SECRETS = frozenset(("token", "api_key", "apikey", "api key", "secret", "password"))
 SCHEMES = ("mailto:", "tel:", "://")
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -42,17 +48,21 @@ DIGIT_CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 RUN = re.compile(r"[0-9]+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-SCHEME = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}\Z")
+SCHEME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
 CREDENTIALS = re.compile(r"[^\s/?#@:<>\"']+:[^\s/?#@<>\"']*@[A-Za-z0-9.-]+")
 MAILTO = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-TEL = re.compile(r"\+?[0-9][0-9().-]{5,20}[0-9]")
+TEL = re.compile(r"\+?[0-9][0-9().-]{5,}[0-9]")
 # between a cue and its identifier, in small letters
 LEAD = re.compile(
-    r"(?:[\x20_-]?(?:number|no|nr|id|key)(?![^\W_])|[_-])?[\x20]{0,3}([:=#]?)[\x20]{0,3}([\"']?)"
+    r"(?:[\x20\t_-]?(?:number|no|nr|id|key)(?![^\W_])\.?|[_-])?(?:[\"'](?=[\x20\t]*[:=]))?"
+    r"[\x20\t]*([:=#]?)[\x20\t]*([\"']?)"
 )
 KEY = re.compile(r"[\w+/.~=%@$!*:^-]+")
 GROUPS = re.compile(r"[0-9]+(?:[\x20-][0-9]+(?![^\W_]))*")
 IBAN = re.compile(r"[A-Za-z]{2}[0-9]{2}(?:[\x20-]?[A-Za-z0-9]){11,30}")
+YEARS = re.compile(r"(?:19|20)[0-9]{2}(?:[\x20-](?:19|20)[0-9]{2})*")
+DATE = re.compile(r"(?:19|20)[0-9]{2}([/.-])[0-9]{1,2}\1[0-9]{1,2}")
+URL = re.compile(r"(?:https?|ftps?|wss?|file|s3a?|gs)://")
 SENTENCE = ".:!*"  # may follow an identifier, and does not end one
 CAPITALS = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 
@@ -124,9 +134,8 @@ class Identifiers:
             self.digits = [k for k in range(at, self.end) if self.text[k].isdigit()]
         return self.end
 
-    def behind(self, after: int) -> tuple[int, int] | None:
-        """Start and end of the identifier behind a cue that ends at ``after``: six
-        characters or more, of them four digits."""
+    def behind(self, cue: str, after: int) -> tuple[int, int] | None:
+        """Start and end of the identifier behind a cue that ends at ``after``."""
         text = self.text
         if text[after : after + 1].isalpha():
             return None
@@ -135,6 +144,9 @@ class Identifiers:
         first = text[start : start + 1]
         if not (first.isalnum() or first and first in "_+/.~%@$!^-" and (lead[1] or lead[2])):
             return None
+        secret = cue in SECRETS and lead[1] in (":", "=")
+        if not secret and URL.match(self.low, start):
+            return None
         end = iban_end(text, start)
         if end < 0:
             end = self.run_end(start)
@@ -146,12 +158,25 @@ class Identifiers:
                 if rest := KEY.match(text, end):
                     n += sum(c.isdigit() for c in rest[0])
                     end = rest.end()
-            if n < 4:
+            if n < 4 and not (secret and self.fits_secret(cue, lead[2], start, end, n)):
                 return None
-            while text[end - 1] in SENTENCE:
+            while end > start and text[end - 1] in SENTENCE:
                 end -= 1
+            if not lead[1] and any(p.fullmatch(text, start, end) for p in (YEARS, DATE)):
+                return None
         return (start, end) if end - start >= 6 else None
 
+    def fits_secret(self, cue: str, quoted: str, start: int, end: int, digits: int) -> bool:
+        """Whether a run of fewer than four digits is a secret: no call or lookup in code."""
+        if self.text[end : end + 1] in ("(", "["):
+            return False
+        return bool(
+            cue == "password"
+            or quoted
+            or digits
+            and any(self.text[k].isalpha() for k in range(start, end))
+        )
+
 
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """``kind, start, end`` by start, then kind; code points, end exclusive."""
@@ -190,7 +215,7 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
         elif kind == "scheme":
             spans += _address(text, at, last + 1, done)
         elif at >= done["account"] and (at == 0 or not text[at - 1].isalnum()):
-            if found := identifiers.behind(last + 1):
+            if found := identifiers.behind(low[at : last + 1], last + 1):
                 done["account"] = found[1]
                 spans.append(("account", *found))
     spans.sort(key=lambda s: (s[1], ORDER[s[0]]))
@@ -199,9 +224,12 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
 
 def _address(text: str, at: int, after: int, done: dict[str, int]):
     if text[at] == ":":  # of "://": a scheme before it, credentials behind it
-        head = SCHEME.search(text[max(0, at - 31) : at])
-        found = CREDENTIALS.match(text, after) if head else None
-        start = at - len(head[0]) if head else at
+        start = at
+        while start and text[start - 1] in SCHEME:
+            start -= 1
+        while start < at and text[start] not in ascii_letters:
+            start += 1
+        found = CREDENTIALS.match(text, after) if start < at else None
     elif at and text[at - 1].isalnum():
         return
     else:
