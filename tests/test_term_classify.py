@@ -19,6 +19,16 @@ def rows(spark):
     return spark.createDataFrame(texts, f"id int, {TEXT} string, topic int").repartition(3)
 
 
+def test_a_row_without_a_label_is_of_no_class(rows, monkeypatch):
+    some = rows.selectExpr("id", TEXT, "if(id % 7 = 0, null, topic) AS topic")
+    small = classify.train_one_vs_rest(some).scores().collect()
+    monkeypatch.setattr(classify, "HELD_BYTES", 0)
+    large = classify.train_one_vs_rest(some).scores().collect()
+    assert sorted(map(str, large)) == sorted(map(str, small))
+    with pytest.raises(ValueError):
+        classify.train_classifier(some)
+
+
 @pytest.mark.parametrize("fit", [classify.train_classifier, classify.train_one_vs_rest])
 def test_tables_predict_as_spark_ml(spark, rows, monkeypatch, tmp_path, fit):
     small = fit(rows)
@@ -33,3 +43,21 @@ def test_tables_predict_as_spark_ml(spark, rows, monkeypatch, tmp_path, fit):
     once = classify.score_texts(large.model, rows, "id")
     assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
     assert {r.split: r.n_rows for r in large.scores().collect()} == {r.split: r.n_rows for r in small.scores().collect()}
+
+
+def test_no_factor_is_broadcast_for_its_small_file(spark):
+    from ticket_topics.operators import wide_classify
+    from ticket_topics.session import staged
+
+    from .plans import explained
+
+    h = staged(spark.range(500).selectExpr("id AS j", "array(0D, 0D) AS h"), "zeros")
+    space = object.__new__(wide_classify._Table)
+    space.classes, space.v = 2, h.selectExpr("j", "h AS v")
+    seen = []
+    staging, wide_classify.staged = wide_classify.staged, lambda df, name: seen.append(explained(df)) or df
+    try:
+        space.first(h, h, 0.0)
+    finally:
+        wide_classify.staged = staging
+    assert "SortMergeJoin" in seen[0] and "Broadcast" not in seen[0]
