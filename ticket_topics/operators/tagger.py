@@ -18,15 +18,18 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..config import BROADCAST_BYTES, BROADCAST_ROWS
 from ..functions import text as X
 from ..functions.arrays import bind
 from ..session import staged
 from .joins import is_small, lookup_join
-from .lexicon import NOUN
+from .lexicon import NOUN, joined_texts
+from .word_blocks import asked_words, found_places, split_words, with_found, word_blocks
 
 SUFFIX = 4  # longest suffix looked at
 RARE = 10  # forms seen so often at most say what unknown forms are like
@@ -221,9 +224,9 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) ->
 
 def _decode(
     scores_of: Callable[[int, int], np.ndarray], lengths: np.ndarray, transitions, tags
-) -> pa.Array:
-    """Tags of all texts, a slice of texts at a time; ``scores_of`` gives the scores of a
-    range of tokens."""
+) -> np.ndarray:
+    """Numbers of the tags of all texts, a slice of texts at a time; ``scores_of`` gives the
+    scores of a range of tokens."""
     ends = np.cumsum(lengths)
     found, begin = [np.empty(0, dtype=np.int64)], 0
     while begin < len(lengths):
@@ -233,8 +236,18 @@ def _decode(
         scores = scores_of(before, int(ends[end - 1]))
         found.append(viterbi(scores, lengths[begin:end], transitions))
         begin = end
-    names = pa.array(tags, pa.string()).take(pa.array(np.concatenate(found)))
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), names)
+    return np.concatenate(found)
+
+
+def _named(found: np.ndarray, lengths: np.ndarray, tags: tuple[str, ...]) -> pa.Array:
+    names = pa.array(tags, pa.string()).take(pa.array(found))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), names)
+
+
+def _with_lemmas(words: pa.DictionaryArray, found, lengths, lemma: pa.Array, tags) -> list[pa.Array]:
+    """Lemma texts and noun texts; a word without a ``lemma`` under its tag is its own."""
+    noun = pa.array(found == (tags.index(NOUN) if NOUN in tags else -1))
+    return joined_texts(pc.coalesce(lemma, words.dictionary_decode()), noun, lengths)
 
 
 def add_tags(
@@ -247,13 +260,13 @@ def add_tags(
 ) -> DataFrame:
     """Add the tag of every word of ``column``, an array; null and empty texts have none.
 
-    A model measured to be small is broadcast and the texts are tagged where they lie. Of
-    a larger one each distinct form of the texts is looked up once and joined to its
-    tokens. Both ways give the same rows; rows need no key.
+    A model measured to be small is broadcast and the texts are tagged where they lie. A
+    larger one is asked by blocks of rows (:mod:`word_blocks`). Both ways give the same
+    rows; rows need no key.
     """
     forms, suffixes = tagger.forms.select("form", "scores"), tagger.suffixes
     if is_small(forms, max_rows, max_bytes) and is_small(suffixes, max_rows, max_bytes):
-        return _by_broadcast(df, tagger, column, tags)
+        return _by_broadcast(df, tagger, column, (tags,))
     return _by_join(df, tagger, column, tags, max_rows, max_bytes)
 
 
@@ -263,15 +276,23 @@ def _table(df: DataFrame, key: str) -> tuple[pd.Index, np.ndarray]:
     return pd.Index(table.column(key).to_pandas()), scores.reshape(table.num_rows, -1)
 
 
-def _by_broadcast(df, tagger, column, tags):
+def _by_broadcast(df, tagger, column, outs):
+    """``outs`` names the tags, or the lemma text and the noun text."""
     share = df.sparkSession.sparkContext.broadcast
-    shared = share((_table(tagger.forms, "form"), _table(tagger.suffixes, "suffix")))
+    own = None
+    if len(outs) == 2:
+        forms = tagger.forms.select("form", "scores", "lemmas").toArrow()
+        own = forms.column("lemmas").combine_chunks().flatten()
+        scores = np.asarray(forms.column("scores").combine_chunks().flatten(), dtype=np.float64)
+        table = pd.Index(forms.column("form").to_pandas()), scores.reshape(forms.num_rows, -1)
+    else:
+        table = _table(tagger.forms, "form")
+    shared = share((table, _table(tagger.suffixes, "suffix"), own))
     longest = int(tagger.suffixes.agg(F.max(F.length("suffix"))).first()[0])
     names, transitions = tagger.tags, tagger.transitions
 
-    @F.arrow_udf("array<string>")
-    def decode(tokens: pa.Array) -> pa.Array:
-        (form_index, form_scores), (suffix_index, suffix_scores) = shared.value
+    def decoded(tokens: pa.Array):
+        (form_index, form_scores), (suffix_index, suffix_scores), _ = shared.value
         coded = tokens.flatten().dictionary_encode()
         forms = coded.dictionary.to_pandas()
         at = form_index.get_indexer(forms)
@@ -285,12 +306,32 @@ def _by_broadcast(df, tagger, column, tags):
             open_rows = open_rows[found < 0]
         codes = coded.indices.to_numpy(zero_copy_only=False)
         lengths = np.asarray(tokens.value_lengths(), dtype=np.int64)
-        return _decode(lambda a, b: scores[codes[a:b]], lengths, transitions, names)
+        found = _decode(lambda a, b: scores[codes[a:b]], lengths, transitions, names)
+        return coded, at[codes], found, lengths
 
-    return df.withColumn(tags, decode(X.words(F.coalesce(F.col(column), F.lit("")))))
+    @F.arrow_udf("array<string>")
+    def tagged(tokens: pa.Array) -> pa.Array:
+        _, _, found, lengths = decoded(tokens)
+        return _named(found, lengths, names)
+
+    @F.arrow_udf("struct<lemmas: string, nouns: string>")
+    def lemmatized(tokens: pa.Array) -> pa.Array:
+        coded, at, found, lengths = decoded(tokens)
+        lemma = shared.value[2].take(pa.array(at * len(names) + found, mask=at < 0))
+        return pa.StructArray.from_arrays(
+            _with_lemmas(coded, found, lengths, lemma, names), names=["lemmas", "nouns"]
+        )
 
+    words = X.words(F.coalesce(F.col(column), F.lit("")))
+    if len(outs) == 1:
+        return df.withColumn(outs[0], tagged(words))
+    texts = df.withColumn("_found", lemmatized(words))
+    for name, part in zip(outs, ("lemmas", "nouns"), strict=True):
+        texts = texts.withColumn(name, F.col(f"_found.{part}"))
+    return texts.drop("_found")
 
-def form_scores(forms: DataFrame, tagger: Tagger) -> DataFrame:
+
+def form_scores(forms: DataFrame, tagger: Tagger, **bounds) -> DataFrame:
     """``form, scores`` of distinct ``form``: as seen, else by the longest known suffix."""
     longest = int(tagger.suffixes.agg(F.max(F.length("suffix"))).first()[0])
     seen = staged(forms.join(tagger.forms.select("form", "scores"), "form", "left"), "form-scores")
@@ -299,49 +340,71 @@ def form_scores(forms: DataFrame, tagger: Tagger) -> DataFrame:
         "form", F.explode(F.transform(lengths, lambda k: F.right("form", k))).alias("suffix")
     )
     # the shortest suffixes are borne by all forms, so the lookup must not shuffle by them
-    met = lookup_join(ends, tagger.suffixes, "suffix", "inner")
+    met = lookup_join(ends, tagger.suffixes, "suffix", "inner", **bounds)
     guessed = met.groupBy("form").agg(F.max_by("scores", F.length("suffix")).alias("scores"))
     return seen.where(F.col("scores").isNotNull()).unionByName(guessed)
 
 
 def _by_join(df, tagger, column, tags, max_rows, max_bytes):
-    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "tagger-rows")
-    tokens = rows.select(
-        "_row", F.posexplode(X.words(F.coalesce(F.col(column), F.lit("")))).alias("_pos", "form")
+    kinds = {tags: ArrayType(StringType())}
+    return _by_blocks(df, tagger, column, kinds, max_rows=max_rows, max_bytes=max_bytes)
+
+
+def _by_blocks(df, tagger, column, kinds, **bounds):
+    """Each distinct form of the texts is looked up once, and each block of rows is sent the
+    scores of its own forms. ``kinds`` are the tags, or the lemma text and the noun text,
+    with their types."""
+    outs = tuple(kinds)
+    blocks = word_blocks(df, X.words(F.coalesce(F.col(column), F.lit(""))))
+    forms = asked_words(blocks, "form").select("form").distinct()
+    scores = staged(form_scores(forms, tagger, **bounds), "token-scores")
+    if len(outs) == 2:
+        lemmas = tagger.forms.select("form", "lemmas").hint("merge")
+        scores = scores.join(lemmas, "form", "left")
+    else:
+        scores = scores.withColumn("lemmas", F.lit(None).cast("array<string>"))
+    # few tags are borne by a form, so it carries those alone
+    every = F.transform(
+        "scores",
+        lambda s, i: F.struct(i.alias("tag"), s.alias("score"), F.get("lemmas", i).alias("lemma")),
     )
-    scores = staged(form_scores(tokens.select("form").distinct(), tagger), "token-scores")
-    # few tags are borne by a form, so a token carries those alone
-    every = F.transform("scores", lambda s, i: F.struct(i.alias("tag"), s.alias("score")))
     borne = scores.select("form", F.filter(every, lambda t: t["score"] > NEVER).alias("borne"))
-    joined = lookup_join(tokens, borne, "form", max_rows=max_rows, max_bytes=max_bytes)
-    grouped = joined.groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "borne"))).alias("_parts")
-    )
-    names, transitions = tagger.tags, tagger.transitions
+    names, transitions, kept = tagger.tags, tagger.transitions, [c for c in df.columns if c not in outs]
 
-    @F.arrow_udf("array<string>")
-    def decode(parts: pa.Array) -> pa.Array:
-        tokens = parts.flatten()
-        ends = np.cumsum(np.asarray(tokens.value_lengths(), dtype=np.int64))
-        borne = tokens.flatten()
-        tag, score = (np.asarray(borne.field(k)) for k in (0, 1))
+    def run(found: pa.Table, rows: pa.Table) -> pa.Table:
+        words, lengths = split_words(rows.column("_words"))
+        coded, at = found_places(found, "form", words)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        entries = found.column("borne").combine_chunks()
+        sizes = np.asarray(pc.list_value_length(entries), dtype=np.int64)
+        first = (np.cumsum(sizes) - sizes)[at]
+        sizes, flat = sizes[at], entries.flatten()
+        tag, score = (np.asarray(flat.field(k)) for k in ("tag", "score"))
 
         def scores_of(a: int, b: int) -> np.ndarray:
             out = np.full((b - a, len(names)), NEVER)
-            first = ends[a - 1] if a else 0
-            token = np.repeat(np.arange(b - a), np.diff(ends[a:b], prepend=first))
-            here = slice(first, ends[b - 1] if b > a else first)
-            out[token, tag[here]] = score[here]
+            here = codes[a:b]
+            n = sizes[here]
+            token = np.repeat(np.arange(b - a), n)
+            entry = np.arange(len(token)) + np.repeat(first[here] - (np.cumsum(n) - n), n)
+            out[token, tag[entry]] = score[entry]
             return out
 
-        lengths = np.asarray(parts.value_lengths(), dtype=np.int64)
-        return _decode(scores_of, lengths, transitions, names)
+        best = _decode(scores_of, lengths, transitions, names)
+        if len(outs) == 1:
+            more = [_named(best, lengths, names)]
+        else:
+            # the entries of a form lie in the order of their tags
+            owner = np.repeat(np.arange(len(entries)), np.asarray(pc.list_value_length(entries)))
+            keys, wanted = owner * len(names) + tag, at[codes] * len(names) + best
+            place = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+            known = keys[place] == wanted if len(keys) else np.zeros(len(wanted), dtype=bool)
+            lemma = flat.field("lemma").take(pa.array(place, mask=~known))
+            more = _with_lemmas(coded, best, lengths, lemma, names)
+        return pa.table([*[rows.column(c) for c in kept], *more], [*kept, *outs])
 
-    found = grouped.select("_row", decode(F.transform("_parts", lambda p: p["borne"])).alias("_tags"))
-    nothing = F.array().cast("array<string>")
-    return rows.join(found, "_row", "left").select(
-        *df.columns, F.coalesce("_tags", nothing).alias(tags)
-    )
+    fields = [df.schema[c] for c in kept] + [StructField(c, k) for c, k in kinds.items()]
+    return with_found(blocks, borne, "form", run, StructType(fields))
 
 
 def lemmatize_in_context(
@@ -356,28 +419,14 @@ def lemmatize_in_context(
     """Add the lemma text and the noun-only text of ``column``, as tagged in context.
 
     A word's lemma is that of its form under its tag; an unknown form is its own. A text
-    without nouns gives ``''``.
+    without nouns gives ``''``. Tagging and lemmas are one pass over the texts.
     """
     bounds = {"max_rows": max_rows, "max_bytes": max_bytes}
-    tagged = add_tags(df, tagger, column, "_tags", **bounds)
-    rows = staged(tagged.withColumn("_row", F.monotonically_increasing_id()), "tagged-rows")
-    words = X.words(F.coalesce(F.col(column), F.lit("")))
-    tokens = rows.select("_row", "_tags", F.posexplode(words).alias("_pos", "form"))
-    with_tag = tokens.select("_row", "_pos", "form", F.get("_tags", F.col("_pos")).alias("tag"))
-    joined = lookup_join(with_tag, tagger.forms.select("form", "lemmas"), "form", **bounds)
-    place = F.array_position(F.array(*[F.lit(t) for t in tagger.tags]), F.col("tag"))
-    lemma = F.coalesce(F.get("lemmas", (place - 1).cast("int")), F.col("form"))
-    part = F.struct("_pos", lemma.alias("lemma"), (F.col("tag") == NOUN).alias("noun"))
-    grouped = joined.groupBy("_row").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
-    texts = grouped.select(
-        "_row",
-        F.array_join(F.transform("_parts", lambda p: p["lemma"]), " ").alias("_lemmas"),
-        F.array_join(
-            F.transform(F.filter("_parts", lambda p: p["noun"]), lambda p: p["lemma"]), " "
-        ).alias("_nouns"),
-    )
-    return rows.join(texts, "_row", "left").select(
-        *df.columns,
-        F.coalesce("_lemmas", F.lit("")).alias(lemmas),
-        F.coalesce("_nouns", F.lit("")).alias(nouns),
-    )
+    if all(is_small(t, **bounds) for t in (_unnested(tagger.forms), tagger.suffixes)):
+        return _by_broadcast(df, tagger, column, (lemmas, nouns))
+    return _by_blocks(df, tagger, column, {lemmas: StringType(), nouns: StringType()}, **bounds)
+
+
+def _unnested(forms: DataFrame) -> DataFrame:
+    """The forms with the characters of their lemmas, for a measure of their size."""
+    return forms.withColumn("_letters", F.array_join("lemmas", ""))
