@@ -175,3 +175,27 @@ def test_hot_keys_are_few(spark):
     for n in (10, 1000):
         counts = spark.range(n).select(F.col("id").alias("key"), F.lit(1).alias("n"))
         assert hot_keys(counts, "key").count() <= HOT_PARTS * 2
+
+
+def test_texts_are_counted_once(docs, monkeypatch):
+    """The vocabulary and the weights of unit length read one stored count of the texts."""
+    _, df = docs
+    cut = []
+    monkeypatch.setattr(FE, "term_frequencies", lambda c: cut.append(1) or term_frequencies(c))
+    rows = FE.tfidf_l2(df, "text")
+    assert len(cut) == 1
+    tokens = FE.dictionary_tokens(F.col("text"))
+    vocab = staged(FE.build_vocabulary(df, tokens, None, 2, 0.95, df.count()), "vocabulary")
+    again = FE.tfidf_l2(df, "text", vocabulary=vocab)
+    assert sorted(rows.collect()) == sorted(again.collect())
+
+
+def test_counted_texts_give_the_same_weights(docs):
+    _, df = docs
+    tokens = FE.ticket_tokens(F.col("text"))
+    counted = FE.counted_texts(df, tokens, "id")
+    vocab = staged(FE.build_vocabulary(counted, F.col("counts"), counted=True), "vocabulary")
+    for bounds in ({}, {"max_rows": 0}):
+        plain = FE.tfidf(df, tokens, vocab, df.count(), **bounds)
+        found = FE.tfidf(counted, F.col("counts"), vocab, df.count(), counted=True, **bounds)
+        assert sorted(found.collect()) == sorted(plain.collect())
