@@ -175,3 +175,35 @@ def test_a_long_string_of_signs(spark, tmp_path, ranges):
     found = json_ranges.read_json_records(spark, str(path), struct(), "array")
     assert rows_of(found) == expected(records)
     assert found.select(F.length("a")).distinct().count() == 1
+
+
+def test_lines_stay_in_arrow():
+    """Offsets of batches over two files and ranges, without a Python object for each line."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    lines = [b"x" * 1000] * 4000
+    places = [("a", 0)] * 1000 + [("a", 50)] * 1500 + [("b", 0)] * 1500
+    names = ["file", "block", "piece"]
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([f for f, _ in places[i:j]]), pa.array([b for _, b in places[i:j]], pa.int64()), pa.array(lines[i:j], pa.binary())],
+            names,
+        )
+        for i, j in ((0, 0), (0, 1200), (1200, 4000))
+    ]
+    shared = SimpleNamespace(value={("a", 0): 0, ("a", 50): 7000, ("b", 0): 3})
+    tracemalloc.start()
+    found = list(json_ranges._line_offsets(shared)(iter(batches)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    offsets = [o for b in found for o in b.column("offset").to_pylist()]
+    starts = {("a", 0): 0, ("a", 50): 7000, ("b", 0): 3}
+    want = []
+    for place in places:
+        want.append(starts[place])
+        starts[place] += 1001
+    assert offsets == want
+    assert peak < 1 << 20

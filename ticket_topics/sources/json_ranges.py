@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -266,16 +267,28 @@ def _array_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _line_offsets(shared):
+    """The lines and the bytes they begin at; the lines stay in Arrow, and only their
+    lengths are looked at."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, at = None, 0
         for batch in batches:
-            files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
-            offsets = []
-            for file, block, piece in zip(files, blocks, batch.column("piece").to_pylist(), strict=True):
-                if (file, block) != here:
-                    here, at = (file, block), shared.value[file, block]
-                offsets.append(at)
-                at += len(piece) + 1
+            if not batch.num_rows:
+                continue
+            sizes = np.asarray(pc.binary_length(batch.column("piece")), dtype=np.int64) + 1
+            ends = np.cumsum(sizes)
+            offsets = ends - sizes
+            files = batch.column("file").dictionary_encode()
+            codes, blocks = np.asarray(files.indices), np.asarray(batch.column("block"))
+            changes = np.flatnonzero((np.diff(codes) != 0) | (np.diff(blocks) != 0)) + 1
+            cuts = [0, *changes.tolist(), batch.num_rows]
+            for begin, end in zip(cuts, cuts[1:]):
+                place = (files.dictionary[int(codes[begin])].as_py(), int(blocks[begin]))
+                if place != here:
+                    here, at = place, shared.value[place]
+                first = int(ends[begin] - sizes[begin])
+                offsets[begin:end] += at - first
+                at += int(ends[end - 1]) - first
             yield pa.RecordBatch.from_arrays(
                 [batch.column("file"), pa.array(offsets, pa.int64()), batch.column("piece")],
                 ["file", "offset", "text"],
