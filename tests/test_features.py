@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ticket_topics.functions.arrays import term_frequencies
 from ticket_topics.operators import features as FE
 from ticket_topics.operators.joins import HOT_PARTS, hot_keys, lookup_join, skew_join
+from ticket_topics.plans import queries as Q
 from ticket_topics.session import staged
 
 from .plans import explained
@@ -199,3 +200,27 @@ def test_counted_texts_give_the_same_weights(docs):
         plain = FE.tfidf(df, tokens, vocab, df.count(), **bounds)
         found = FE.tfidf(counted, F.col("counts"), vocab, df.count(), counted=True, **bounds)
         assert sorted(found.collect()) == sorted(plain.collect())
+
+
+def test_summed_counts_are_looked_up_once(spark):
+    texts = [("de", "a1 fee fee"), ("de", "fee loan"), ("es", "fee"), (None, "loan loan"), (None, "loan")]
+    df = spark.createDataFrame(texts, "lang string, text string")
+    tokens = FE.ticket_tokens(F.col("text"))
+    known = FE.build_vocabulary(df, tokens).where("term <> 'a1'")
+    for bounds in ({}, {"max_rows": 0}):
+        got = FE.count_terms(df, tokens, known, "lang", summed=True, **bounds)
+        want = [("de", "fee", 3, 3), ("de", "loan", 1, 3), ("es", "fee", 1, 3), (None, "loan", 3, 3)]
+        rows = [(r.lang, r.term, r.tf, r.df) for r in got.collect()]
+        assert sorted(rows, key=str) == sorted(want, key=str)
+
+
+def test_lang_weights_add_up_before_the_vocabulary(spark, sf):
+    rows = Q._lang_weights(spark, sf)
+    plan = explained(rows)
+    assert plan.index("Join") < plan.index("HashAggregate")
+    long = FE.count_terms(
+        Q._counted(spark, sf), F.col("counts"), Q._vocabulary(spark, sf), "lang", counted=True
+    )
+    weight = F.col("tf") * FE.idf(F.col("df"), Q._n_docs(spark, sf))
+    want = {(r.lang, r.term): r.w for r in long.groupBy("lang", "term").agg(F.sum(weight).alias("w")).collect()}
+    assert {(r.lang, r.term): r.weight for r in rows.collect()} == pytest.approx(want)

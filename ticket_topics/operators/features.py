@@ -115,14 +115,24 @@ def counted_texts(df: DataFrame, tokens: Column, *keys: str) -> DataFrame:
 
 
 def count_terms(
-    df: DataFrame, tokens: Column, vocabulary: DataFrame, *keys: str, counted: bool = False, **bounds
+    df: DataFrame,
+    tokens: Column,
+    vocabulary: DataFrame,
+    *keys: str,
+    counted: bool = False,
+    summed: bool = False,
+    **bounds,
 ) -> DataFrame:
     """``keys, term, tf`` and the vocabulary's columns; unknown terms are dropped.
 
-    With ``counted``, ``tokens`` are the term frequencies of :func:`counted_texts`.
+    With ``counted``, ``tokens`` are the term frequencies of :func:`counted_texts`. With
+    ``summed``, rows of equal ``keys`` are added up first, so that the vocabulary is asked
+    once for each term of a key.
     """
     counts = df.select(*keys, F.inline(tokens if counted else term_frequencies(tokens)))
-    return lookup_join(counts, vocabulary, "term", how="inner", stored=counted, **bounds)
+    if summed:
+        counts = counts.groupBy(*keys, "term").agg(F.sum("tf").alias("tf"))
+    return lookup_join(counts, vocabulary, "term", how="inner", stored=counted and not summed, **bounds)
 
 
 def idf(df_col: Column, n_docs: int) -> Column:
