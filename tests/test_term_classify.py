@@ -7,6 +7,7 @@ import pytest
 from ticket_topics.operators import classify
 from ticket_topics.operators.records import TEXT
 from ticket_topics.sources import models
+from ticket_topics.streaming import ingest, scoring
 
 THEMES = ["card credit limit visa", "loan house mortgage rate", "theft fraud police stolen"]
 
@@ -61,3 +62,23 @@ def test_no_factor_is_broadcast_for_its_small_file(spark):
     finally:
         wide_classify.staged = staging
     assert "SortMergeJoin" in seen[0] and "Broadcast" not in seen[0]
+
+
+def test_tables_score_arriving_texts(spark, rows, monkeypatch, tmp_path):
+    monkeypatch.setattr(classify, "HELD_BYTES", 0)
+    model = classify.train_classifier(rows).model
+    assert isinstance(model, classify.TermClassifier)
+    texts = rows.select("id", TEXT)
+    texts.limit(0).write.parquet(str(tmp_path / "in"))
+
+    def scored():
+        stream = ingest.file_stream(spark, str(tmp_path / "in"), texts.schema, "parquet", max_files=2)
+        return scoring.score_stream(model, stream, str(tmp_path / "out"), str(tmp_path / "cp"), "id")
+
+    assert scored().count() == 0
+    for part in ("id % 2 = 0", "id % 2 <> 0 OR id IS NULL"):
+        texts.where(part).write.mode("append").parquet(str(tmp_path / "in"))
+        got = scored()
+    assert got.columns == ["id", TEXT, "prediction"]
+    want = classify.score_texts(model, texts, "id")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
