@@ -82,3 +82,26 @@ def test_tables_score_arriving_texts(spark, rows, monkeypatch, tmp_path):
     assert got.columns == ["id", TEXT, "prediction"]
     want = classify.score_texts(model, texts, "id")
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("most", [1, 200, 1 << 23])
+def test_tables_score_by_blocks_without_a_broadcast(spark, rows, monkeypatch, most):
+    from ticket_topics.operators import word_blocks
+
+    from .plans import explained
+
+    monkeypatch.setattr(word_blocks, "BLOCK_BYTES", most)
+    names = [("fee", 1.0, [2.0, 0.0, -9.0]), ("card", 3.0, [0.0, 1.0, 0.0]), ("", 1.0, [0.0, 0.0, 5.0])]
+    known = spark.createDataFrame(names, "term string, w double, h array<double>")
+    texts = [(1, "fee card"), (1, "card card"), (None, "pay"), (2, None), (3, "fee  card card"), (4, "FEE fee")]
+    rows = spark.createDataFrame(texts, f"id int, {TEXT} string").repartition(2)
+    for unit, want in ((False, [0, 1, 1, 2, 1, 0]), (True, [1, 1, 1, 1, 1, 0])):
+        # a null text is blank, and a blank ticket token is a term of its own
+        model = classify.TermClassifier(known, [0.0, 0.5, 0.0], unit)
+        found = classify.score_texts(model, rows, "id")
+        plan = explained(found)
+        assert "Broadcast" not in plan and "Generate" not in plan
+        got = {(r.id, r[TEXT]): int(r.prediction) for r in found.collect()}
+        assert [got[i, t or ""] for i, t in texts] == want
+    none = classify.TermClassifier(known.limit(0), [0.0, 0.5, 0.0], False)
+    assert {r.prediction for r in classify.score_texts(none, rows, "id").collect()} == {1.0}
