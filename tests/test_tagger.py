@@ -92,6 +92,14 @@ def test_both_ways_tag_alike(spark, monkeypatch):
     assert tags_of(T._by_join(texts_of(spark), model, "complaint_cleaned", "tags", 1, 1)) == small
 
 
+def test_both_ways_keep_columns_that_are_never_null(spark):
+    model = T.fit_tagger(sentences(spark))
+    named = "transform(split(complaint_cleaned, ' '), w -> named_struct('form', w, 'tag', 'X')) AS tokens"
+    rows = texts_of(spark).where("id IN (1, 2, 3)").selectExpr("*", "1 AS one", named)
+    small, large = (T.add_tags(rows, model, max_rows=n) for n in (100, 1))
+    assert sorted(map(str, large.collect())) == sorted(map(str, small.collect()))
+
+
 def test_texts_equal_all_paths_under_the_counted_model(spark):
     model = T.fit_tagger(sentences(spark))
     forms = {r["form"]: r["scores"] for r in model.forms.collect()}

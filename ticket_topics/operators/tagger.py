@@ -403,7 +403,8 @@ def _by_blocks(df, tagger, column, kinds, **bounds):
             more = _with_lemmas(coded, best, lengths, lemma, names)
         return pa.table([*[rows.column(c) for c in kept], *more], [*kept, *outs])
 
-    fields = [df.schema[c] for c in kept] + [StructField(c, k) for c, k in kinds.items()]
+    # as stored: whatever files hold may be null, also inside an array
+    fields = [blocks.schema[c] for c in kept] + [StructField(c, k) for c, k in kinds.items()]
     return with_found(blocks, borne, "form", run, StructType(fields))
 
 
