@@ -8,6 +8,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tests.llm.frames import awkward, clashing, empty, plain
+from tests.plans import explained
 from ticket_topics.llm import queries, spelling
 
 
@@ -105,3 +106,15 @@ def test_query_equals_brute_force(spark, sf):
     kept = {w: n for w, n in counts.items() if len(w) >= 5 and n >= 3}
     found = queries.op13_spelling_variants(spark, sf)
     assert sorted(map(tuple, found.collect())) == brute(kept)
+
+
+def test_roots_broadcast_hot_keys_only(spark, monkeypatch):
+    chains = [(f"w{i}", f"w{i // 2}") for i in range(1, 400)] + [(f"v{i}", "w5") for i in range(300)]
+    forms = spark.createDataFrame([c for c in chains if c[0] != c[1]], "word string, form string")
+    plans, staging = [], spelling.staged
+    monkeypatch.setattr(spelling, "staged", lambda df, name: plans.append((name, explained(df))) or staging(df, name))
+    found = dict(map(tuple, spelling.roots(forms).collect()))
+    assert len(found) == 699 and set(found.values()) == {"w0"}
+    rounds = [plan for name, plan in plans if name == "next-forms"]
+    # all roots but the hot ones meet in a shuffle
+    assert rounds and all("SortMergeJoin" in plan for plan in rounds)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import bind
-from ..operators.joins import hot_keys, lookup_join, skew_join
+from ..operators.joins import hot_keys, skew_join
 from ..session import staged
 from .common import text_of
 
@@ -107,8 +107,10 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     )
     chunks = staged(_chunks(words, sizes), "word-chunks")
     found = sizes.select("reduced", F.explode(neighbourhood(F.col("reduced"), symbols)).alias("near"))
-    pairs = found.join(sizes.select(F.col("reduced").alias("near")), "near", "left_semi")
-    left = chunks.join(pairs, "reduced").select("near", F.col("words").alias("mine"))
+    # files of words are small beside their rows, so no side is broadcast for its file
+    known = sizes.select(F.col("reduced").alias("near")).hint("merge")
+    pairs = found.join(known, "near", "left_semi")
+    left = chunks.join(pairs.hint("merge"), "reduced").select("near", F.col("words").alias("mine"))
     right = chunks.select(F.col("reduced").alias("near"), F.col("words").alias("others"))
 
     def verified(mine: Column) -> Column:
@@ -126,7 +128,7 @@ def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
             ),
         )
 
-    met = left.join(right, "near").select(
+    met = left.join(right.hint("merge"), "near").select(
         F.explode(
             F.filter(F.transform("mine", verified), lambda row: row["n_near"] > 0)
         ).alias("row")
@@ -142,12 +144,15 @@ def roots(forms: DataFrame) -> DataFrame:
     """Stored ``word, root`` of ``word, form``: the last word that following forms reaches.
 
     Every round a word takes the root of its root, so a chain of length n takes about
-    log2(n) rounds; counts double along a chain, so chains are short.
+    log2(n) rounds; counts double along a chain, so chains are short. The driver
+    broadcasts nothing but the roots that are too frequent for a shuffle.
     """
     now = staged(forms.select("word", F.col("form").alias("root")), "forms")
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        moved = staged(lookup_join(now, ahead, "root", "left"), "next-forms")
+        counts = staged(now.groupBy("root").agg(F.count(F.lit(1)).alias("n")), "root-counts")
+        hot = hot_keys(counts, "root")
+        moved = staged(skew_join(now, ahead, "root", hot, "left"), "next-forms")
         if moved.where(F.col("next").isNotNull()).isEmpty():
             return now
         now = moved.select("word", F.coalesce("next", "root").alias("root"))
@@ -173,7 +178,7 @@ def group_variants(
     near = near_words(counted, symbols)
     least_n = F.col("best.less") * -1
     formed = staged(
-        counted.join(near, "word", "left").select(
+        counted.join(near.hint("merge"), "word", "left").select(
             "word",
             "n",
             F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
@@ -183,6 +188,6 @@ def group_variants(
         "word-forms",
     )
     ends = roots(formed.where(F.col("form").isNotNull()))
-    return formed.join(ends, "word", "left").select(
+    return formed.join(ends.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
